@@ -24,7 +24,7 @@ def _(t: Tables) -> DataFrame:
 @query("csv_with_index", "SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part")
 def _(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "csv")
-    sinks.land_csv(t.part, path, index_by=["p_partkey"])
+    sinks.land_csv(t.part, path, index=True)
     return readers.read_indexed_csv(t.spark, path)
 
 
@@ -48,7 +48,7 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     """API pages of JSON arrays, turned into NDJSON, then read."""
     pages, lines = scratch_path(t.spark, "pages"), scratch_path(t.spark, "ndjson")
-    sinks.land_json_array(inputs.product_documents(t), pages, ["id"])
+    sinks.land_json_array(inputs.product_documents(t), pages)
     sinks.land_ndjson(readers.read_ndjson(t.spark, pages, schemas.PRODUCT_DOCUMENT), lines)
     return reshape.flatten_struct(readers.read_ndjson(t.spark, lines, schemas.PRODUCT_DOCUMENT), "rating")
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from catalog.registry import Tables
+from loomstar.session import spread
 
 # Product reviews, one wide row per line item; the number of packed reviews is the line number (1 to 7).
 REVIEW_ORDER = [
@@ -20,7 +21,7 @@ def review_extract(t: Tables) -> DataFrame:
     def packed(item: str) -> str:
         return f"array_join(transform(sequence(1, l_linenumber), i -> {item}), ',')"
 
-    return t.lineitem.selectExpr(
+    return spread(t.lineitem).selectExpr(
         "concat('P', l_partkey) AS product_id",
         "concat('Part ', l_partkey, if(l_returnflag = 'R', ' (renewed)', '')) AS product_name",
         "l_returnflag AS category",
@@ -61,7 +62,7 @@ REVIEW_ORDER_SQL = ", ".join(REVIEW_ORDER)
 
 def movies(t: Tables) -> DataFrame:
     """A movie table, one row per order: list-packed genre, four star columns, numbers as text."""
-    return t.orders.selectExpr(
+    return spread(t.orders).selectExpr(
         "concat('http://p/', o_orderkey) AS Poster_Link",
         "concat('Story ', o_custkey) AS Series_Title",
         "if(o_orderpriority = '5-LOW' AND o_orderstatus = 'P', 'PG', cast(year(o_orderdate) AS string)) AS Released_Year",

@@ -10,10 +10,10 @@ from catalog.registry import Tables, query
 from loomstar.operators import dedup, merge, project
 from loomstar.operators.audit import audit_row
 from loomstar.operators.stock import apply_sales
-from loomstar.plans import movies, reviews, sales
+from loomstar.plans import movies, reviews, sales, star
 from loomstar.plans.daily import STAR, DailyReviews
 from loomstar.plans.warehouse import Warehouse
-from loomstar.session import cut_lineage, scratch_path, stored
+from loomstar.session import scratch_path, stored
 from loomstar.sources.schemas import target
 
 # --- merges: customers known by the end of 1995, then everything they ordered since -----------
@@ -117,13 +117,26 @@ def _fact_rows(t: Tables) -> DataFrame:
 
 @query(
     "fact_append",
-    """SELECT l_partkey AS product_key, l_extendedprice AS actual_price, CAST(l_shipdate AS DATE) AS created_date FROM lineitem
-       WHERE CAST(l_shipdate AS DATE) <= DATE '2000-03-01'""",
+    """SELECT l_partkey AS product_key, l_extendedprice AS actual_price,
+         CASE WHEN l_shipdate < DATE '2001-01-01' THEN DATE '2001-08-01' ELSE DATE '2001-08-02' END AS created_date FROM lineitem""",
 )
 def _(t: Tables) -> DataFrame:
+    """Everything shipped before 2001 is in the fact already; the batch of the day brings the rest."""
     rows = _fact_rows(t).drop("sale_id")
-    history = rows.where(F.col("created_date") < F.lit("2000-03-01").cast("date"))
-    return history.unionByName(project.batch_of(rows, "2000-03-01"))
+    cut = F.lit("2001-01-01").cast("date")
+    history = project.stamp(rows.where(F.col("created_date") < cut), "2001-08-01")
+    staged = project.stamp(rows.where(F.col("created_date") >= cut), BATCH)
+    return history.unionByName(project.batch_of(staged, BATCH))
+
+
+@query(
+    "fact_serial_key",
+    """SELECT count(*) AS row_count, CAST(1 AS BIGINT) AS low, count(*) AS high, count(*) AS different FROM lineitem""",
+)
+def _(t: Tables) -> DataFrame:
+    fact = star.build_fact(_fact_rows(t), {"actual_price": F.col("actual_price")}, ["product_key"], serial="price_key")
+    key = F.col("price_key")
+    return fact.agg(F.count(key).alias("row_count"), F.min(key).alias("low"), F.max(key).alias("high"), F.countDistinct(key).alias("different"))
 
 
 @query(
@@ -394,5 +407,5 @@ def _(t: Tables) -> DataFrame:
     load = DailyReviews(Warehouse(t.spark, scratch_path(t.spark, "unused")), DAILY_ORDER)
     dim = t.spark.createDataFrame([], target(STAR, "dim_product"))
     for day in ("2024-01-02", "2024-01-03", "2024-01-04"):
-        dim = cut_lineage(load.next_product(dim, load.extract(_daily_source(t), day), day))
+        dim = stored(load.next_product(dim, load.extract(_daily_source(t), day), day), "dim_product")
     return dim

@@ -8,6 +8,7 @@ from catalog import inputs
 from catalog.registry import Tables, query
 from loomstar.functions import clean
 from loomstar.operators import conform, project, reshape
+from loomstar.session import spread
 
 # --- projection and filters -------------------------------------------------------------------
 
@@ -243,7 +244,7 @@ def _(t: Tables) -> DataFrame:
           for r in regexp_extract_all(text, '([\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+)')], '') AS titled FROM documents""",
 )
 def _(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", clean.title_case("text").alias("titled"))
+    return spread(t.documents).select("doc_id", clean.title_case("text").alias("titled"))
 
 
 @query(

@@ -85,7 +85,7 @@ def capitalize(c: Column | str) -> Column:
 def title_case(c: Column | str) -> Column:
     """Upper-case the first letter of every run of letters: ``o'neil-smith`` becomes ``O'Neil-Smith``."""
     runs = F.regexp_extract_all(_col(c), F.lit(TITLE_RUNS), F.lit(1))
-    return F.array_join(F.transform(runs, lambda run: capitalize(run)), "")
+    return F.array_join(F.transform(runs, lambda run: F.initcap(run)), "")
 
 
 def strip(c: Column | str) -> Column:
@@ -112,5 +112,7 @@ def nan_to_null(c: Column | str) -> Column:
 
 def pieces(c: Column | str, sep: str = ",", trim: bool = False) -> Column:
     """Delimited text to an array; ``sep`` is literal and null text stays null."""
-    parts = F.split(_col(c).cast("string"), rf"\Q{sep}\E")
+    # A single plain character is split without a regular expression.
+    pattern = sep if len(sep) == 1 and (sep.isalnum() or sep in ",;:/ \t\n") else rf"\Q{sep}\E"
+    parts = F.split(_col(c).cast("string"), pattern)
     return F.transform(parts, lambda part: strip(part)) if trim else parts

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from loomstar.functions.keys import hash_key
 from loomstar.operators.ordering import numbered
@@ -26,5 +26,17 @@ def with_dense_key(
     if existing is None:
         return numbered(members, list(business_key), key)
     fresh = null_safe_join(members, existing.select(*business_key), business_key, "left_anti")
-    highest = F.coalesce(existing.agg(F.max(key).cast("bigint")).scalar(), F.lit(0).cast("bigint"))
-    return numbered(fresh, list(business_key), key, after=highest)
+    return numbered(fresh, list(business_key), key, after=highest_key(existing, key))
+
+
+def highest_key(existing: DataFrame, key: str) -> Column:
+    return F.coalesce(existing.agg(F.max(key).cast("bigint")).scalar(), F.lit(0).cast("bigint"))
+
+
+def with_serial(df: DataFrame, key: str, existing: DataFrame | None = None) -> DataFrame:
+    """Serial key of a fact table: 1, 2, 3, ... after the highest existing key, in no particular order.
+
+    Rows are numbered where they lie: no shuffle, and repeated rows are no burden.
+    """
+    after = None if existing is None else highest_key(existing, key)
+    return numbered(df, [], key, after=after).select(key, *[F.col(f"`{c}`") for c in df.columns])

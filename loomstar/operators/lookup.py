@@ -51,28 +51,40 @@ def lookup_key(staging: DataFrame, dim: DataFrame, key: str, on: On, hot_rows: i
 
 
 def push_key(
-    dim: DataFrame, source: DataFrame, key: str, on: On, order: Sequence[Column | str], strict: bool = False
+    dim: DataFrame,
+    source: DataFrame,
+    key: str | Sequence[str],
+    on: On,
+    order: Sequence[Column | str],
+    strict: bool = False,
 ) -> DataFrame:
-    """Set ``key`` in a dimension from a source with one or more rows per member (``{dim column: source column}``).
+    """Set one or more keys in a dimension from a source with any number of rows per member (``{dim column: source column}``).
 
     The first source row in ``order`` wins. With ``strict`` a matched member whose source rows carry
     different keys fails the job. Members without a source row keep what they have.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     pairs = _pairs(on)
     names = [f"_bk{i}" for i in range(len(pairs))]
     values = source.select(*[F.col(f"`{s}`").alias(n) for s, n in zip(pairs.values(), names)], "*")
-    first = keep_first(values, names, order).select(*names, F.col(key).alias("_new"))
-    new: Column = F.col("_new")
+    first = keep_first(values, names, order).select(*names, *[F.col(k).alias(f"_new_{k}") for k in keys])
+    checks = []
     if strict:
-        spread = values.groupBy(*names).agg(F.min(key).alias("_low"), F.max(key).alias("_high"))
-        first = first.join(spread, names, "left")
-        clash = F.concat(F.lit(f"several {key} values for "), F.concat_ws(", ", *[F.col(n).cast("string") for n in names]))
-        new = F.when(F.col("_low") != F.col("_high"), F.raise_error(clash)).otherwise(new)
+        ends = [f(k).alias(f"_{f.__name__}_{k}") for k in keys for f in (F.min, F.max)]
+        first = first.join(values.groupBy(*names).agg(*ends), names, "left")
+        checks = [c for k in keys for c in (f"_min_{k}", f"_max_{k}")]
     same = _all([F.col(f"`{d}`") == F.col(n) for d, n in zip(pairs, names)])
     joined = dim.join(first.withColumn("_hit", F.lit(True)), same, "left")
-    old = F.col(key) if key in dim.columns else F.lit(None)
-    value = F.when(F.col("_hit"), new).otherwise(old)
-    return joined.withColumn(key, value).drop("_new", "_hit", "_low", "_high", *names)
+
+    def value(k: str) -> Column:
+        new: Column = F.col(f"_new_{k}")
+        if strict:
+            clash = F.concat(F.lit(f"several {k} values for "), F.concat_ws(", ", *[F.col(n).cast("string") for n in names]))
+            new = F.when(F.col(f"_min_{k}") != F.col(f"_max_{k}"), F.raise_error(clash)).otherwise(new)
+        old = F.col(k) if k in dim.columns else F.lit(None)
+        return F.when(F.col("_hit"), new).otherwise(old)
+
+    return joined.withColumns({k: value(k) for k in keys}).drop("_hit", *[f"_new_{k}" for k in keys], *checks, *names)
 
 
 def push_key_through(

@@ -83,15 +83,16 @@ def upsert(
     set_columns: Sequence[str],
     batch_date: str,
     order: Sequence[str] = (),
+    unique: bool = False,
 ) -> DataFrame:
     """Insert-or-update of a batch sent row by row in ``order``: the last row of a key wins.
 
     A matched row is stamped ``last_updated_date``. A new row is stamped ``created_date``, and
     ``last_updated_date`` as well if the batch holds its key more than once, because the later row
-    then updates the earlier.
+    then updates the earlier. ``unique`` says that the batch holds no key twice and saves the check.
     """
     day = F.lit(batch_date).cast("date")
-    source = _last_per_key(batch, keys, order)
+    source = batch.withColumn("_n", F.lit(1)) if unique else _last_per_key(batch, keys, order)
     stamps = {UPDATED: day}
     new = {CREATED: day, UPDATED: F.when(F.col("s__n") > 1, day)}
     present = [c for c in (CREATED, UPDATED) if c in target.columns]

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from loomstar.operators.skew import null_safe_join
-from loomstar.session import cut_lineage
+from loomstar.session import stored
 
 # monotonically_increasing_id() keeps the partition number above this bit and the row number below it.
 _PART_BITS = 33
@@ -20,17 +20,18 @@ def _chunk() -> Column:
 def in_chunks(df: DataFrame, *order: Column | str) -> DataFrame:
     """Rows range-partitioned and sorted by ``order``, with ``_row`` rising in that order.
 
-    Checkpointed, because the offsets below are computed in a second pass and must see the same
-    partition boundaries.
+    Stored with ``_row``, because the offsets below are computed in a second pass and must see the same
+    partition boundaries. Without ``order`` the rows stay where they are.
     """
-    placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    return cut_lineage(placed.withColumn("_row", F.monotonically_increasing_id()))
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order) if order else df
+    return stored(placed.withColumn("_row", F.monotonically_increasing_id()), "chunks")
 
 
 def numbered(df: DataFrame, order: Sequence[Column | str], out: str, after: Column | None = None) -> DataFrame:
     """``row_number() over (order by ...)``, starting after ``after``, with every task numbering its own range.
 
-    Only one count per partition goes through a single task and back out by broadcast.
+    Only one count per partition goes through a single task and back out by broadcast. With an empty
+    ``order`` rows are numbered as they lie, without a shuffle.
     """
     rows = in_chunks(df, *order).withColumn("_chunk", _chunk())
     sizes = rows.groupBy("_chunk").agg(F.count(F.lit(1)).alias("_size"))
@@ -48,7 +49,7 @@ def numbered(df: DataFrame, order: Sequence[Column | str], out: str, after: Colu
 def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str) -> DataFrame:
     """``sum(value) over (partition by keys order by order rows unbounded preceding)``, hot keys included.
 
-    A hot key is cut into range chunks. Each chunk is summed on its own, then raised by the total of
+    ``keys`` and ``order`` together identify a row. A hot key is cut into range chunks. Each chunk is summed on its own, then raised by the total of
     the key's earlier chunks. Each boundary between chunks continues at most one key, so there are
     fewer such raises than partitions and they can be broadcast.
     """

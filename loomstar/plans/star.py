@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from loomstar.functions import clean
 from loomstar.operators import conform, dedup, project, reshape
-from loomstar.operators.keys import with_dense_key, with_hash_key
+from loomstar.operators.keys import with_dense_key, with_hash_key, with_serial
 from loomstar.operators.lookup import lookup_key
 
 
@@ -87,19 +87,22 @@ def build_fact(
     keys: Sequence[str],
     grain: str | Sequence[str] = "rows",
     order: Sequence[Column | str] = (),
+    serial: str | None = None,
+    existing: DataFrame | None = None,
 ) -> DataFrame:
     """Fact rows from keyed staging.
 
     ``grain`` is ``rows`` (every staging row), ``distinct`` (every distinct tuple) or the columns of
-    which one row each is kept, the first in ``order``.
+    which one row each is kept, the first in ``order``. ``serial`` names the fact's own key.
     """
     chosen = [m.alias(name) for name, m in measures.items()] + [F.col(k) for k in keys]
     if grain == "rows":
-        return staging.select(*chosen)
-    if grain == "distinct":
-        return staging.select(*chosen).distinct()
-    first = dedup.keep_first(staging, list(grain), list(order) or staging.columns)
-    return first.select(*chosen)
+        fact = staging.select(*chosen)
+    elif grain == "distinct":
+        fact = staging.select(*chosen).distinct()
+    else:
+        fact = dedup.keep_first(staging, list(grain), list(order) or staging.columns).select(*chosen)
+    return fact if serial is None else with_serial(fact, serial, existing)
 
 
 def stage_movies(movies: DataFrame, types: Mapping[str, str]) -> DataFrame:

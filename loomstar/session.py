@@ -45,29 +45,45 @@ def local_session(cores: int = 8, app: str = "loomstar", shuffle_partitions: int
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``, else one made for this run."""
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="loomstar-"))
-    return named or context.getCheckpointDir()
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="loomstar-"))
+    return context.getCheckpointDir()
+
+
+def _application_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/loomstar/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path under the shared folder, never used twice."""
-    return f"{shared_dir(spark).rstrip('/')}/loomstar/{label}-{uuid.uuid4().hex}"
+    return f"{_application_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the rows, their order and their partitions survive the loss of an executor."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this application stored with ``stored``; call it when its results are written."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(_application_dir(spark))
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
-    For staging that several loads read: each then scans only the columns it needs, and none of them
-    repeats the work behind ``df``.
+    Cuts the lineage and survives the loss of an executor. Later readers scan only the columns they
+    need, repeat none of the work behind ``df``, and plan with its true size.
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Even out a scan of fewer tasks than cores ahead of an operator that multiplies its rows.
+
+    A file with one row group is one task, however much the task then produces. A scan that already
+    keeps the cluster busy is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -36,10 +36,10 @@ def create_table_as(df: DataFrame, name: str, mode: str = "fail", path: str | No
     return df.sparkSession.table(name)
 
 
-def land_csv(df: DataFrame, path: str, mode: str = "fail", index_by: Sequence[str] = ()) -> None:
-    """Tabular data as CSV in the lake. ``index_by`` adds a leading row index without a name, in that order."""
-    if index_by:
-        rows = numbered(df, list(index_by), "_n")
+def land_csv(df: DataFrame, path: str, mode: str = "fail", index: bool = False) -> None:
+    """Tabular data as CSV in the lake. ``index`` adds a leading row number without a name."""
+    if index:
+        rows = numbered(df, [], "_n")
         df = rows.select((F.col("_n") - 1).alias(""), *[F.col(f"`{c}`") for c in df.columns])
     df.write.mode(MODES[mode]).option("header", True).option("escape", '"').csv(path)
 
@@ -48,14 +48,13 @@ def land_ndjson(df: DataFrame, path: str, mode: str = "fail") -> None:
     df.write.mode(MODES[mode]).option("ignoreNullFields", False).json(path)
 
 
-def land_json_array(df: DataFrame, path: str, order: Sequence[str], page_rows: int = 1000, mode: str = "fail") -> None:
+def land_json_array(df: DataFrame, path: str, page_rows: int = 1000, mode: str = "fail") -> None:
     """JSON arrays of at most ``page_rows`` objects, as an API pages them, one array per line of text."""
     record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"})
-    rows = numbered(df, list(order), "_n").select("_n", record.alias("_json"))
+    rows = numbered(df.select(record.alias("_json")), [], "_n")
     page = F.floor((F.col("_n") - 1) / page_rows)
-    items = F.transform(F.sort_array(F.collect_list(F.struct("_n", "_json"))), lambda item: item["_json"])
-    pages = rows.groupBy(page.alias("_page")).agg(F.concat(F.lit("["), F.array_join(items, ","), F.lit("]")).alias("value"))
-    pages.select("value").write.mode(MODES[mode]).text(path)
+    array = F.concat(F.lit("["), F.array_join(F.collect_list("_json"), ","), F.lit("]"))
+    rows.groupBy(page.alias("_page")).agg(array.alias("value")).select("value").write.mode(MODES[mode]).text(path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
