@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from loomstar.operators.skew import HOT_ROWS, split_join
+from loomstar.operators.skew import HOT_ROWS, hot_among, split_join
 
 
 def distinct_rows(df: DataFrame, *columns: str) -> DataFrame:
@@ -44,7 +44,7 @@ def latest_ties(df: DataFrame, keys: Sequence[str], by: str, hot_rows: int = HOT
     table is never sorted in one task. Null keys form a group, as in a window.
     """
     summary = df.groupBy(*keys).agg(F.max(by).alias("_top"), F.count(F.lit(1)).alias("_n"))
-    hot = summary.where(F.col("_n") >= hot_rows)
+    hot = hot_among(summary, keys, hot_rows=hot_rows)
     joined = split_join(df, summary.drop("_n"), keys, "inner", hot)
     return joined.where(F.col(by).eqNullSafe(F.col("_top"))).drop("_top")
 
@@ -52,5 +52,5 @@ def latest_ties(df: DataFrame, keys: Sequence[str], by: str, hot_rows: int = HOT
 def duplicates(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Every row whose key occurs more than once; null keys count as equal."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-    hot = counts.where(F.col("_n") >= hot_rows)
+    hot = hot_among(counts, keys, hot_rows=hot_rows)
     return split_join(df, counts.drop("_n"), keys, "left_semi", hot)

@@ -7,15 +7,21 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-# A key is hot from this many rows on. The number of hot keys is then at most rows / HOT_ROWS,
-# which is what makes broadcasting them safe.
-HOT_ROWS = 5_000_000
+# A key is hot when it has at least this many rows and at least this share of all rows. The share
+# bounds the number of hot keys at 1 / HOT_SHARE however large the table, so they can be broadcast.
+HOT_ROWS = 1_000_000
+HOT_SHARE = 1e-5
+
+
+def hot_among(counts: DataFrame, keys: Sequence[str], rows: str = "_n", hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The hot keys of a table of row counts per key."""
+    least = F.greatest(F.lit(float(hot_rows)), counts.agg(F.sum(rows)).scalar() * HOT_SHARE)
+    return counts.where(F.col(rows) >= least).select(*keys)
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with at least ``hot_rows`` rows, counted with map-side combine."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.where(F.col("_n") >= hot_rows).select(*keys)
+    """The hot keys of a table, counted with map-side combine."""
+    return hot_among(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), keys, hot_rows=hot_rows)
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from loomstar.operators.ordering import numbered
+from loomstar.sources.schemas import fit
 
 # Write intents to Spark's modes.
 MODES = {"replace": "overwrite", "append": "append", "fail": "errorifexists"}
@@ -20,6 +22,11 @@ def write_table(df: DataFrame, path: str, mode: str = "fail", partition_by: Sequ
     return seen.get["rows"]
 
 
+def insert(df: DataFrame, path: str, schema: StructType, defaults: Mapping[str, Column] | None = None) -> int:
+    """INSERT: rows, or the result of a SELECT, projected to the target's columns and appended."""
+    return write_table(fit(df, schema, defaults), path, "append")
+
+
 def write_partition(df: DataFrame, path: str, partition_by: Sequence[str]) -> int:
     """Replace only the partitions present in ``df``, so that a day loaded twice is there once."""
     seen = Observation()

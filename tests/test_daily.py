@@ -71,6 +71,21 @@ def test_unfinished_snapshot_is_ignored(spark, load, tmp_path):
     assert load.wh.snapshot("dim_product", target(STAR, "dim_product")).count() == 2
 
 
+def test_lookup_by_pair_gives_the_losing_name_no_key(spark, tmp_path, rows):
+    load = DailyReviews(Warehouse(spark, str(tmp_path)), ORDER, by_pair=True)
+    log = load.replay(extract(spark), "2024-01-02", 3)
+    staged = spark.read.parquet(load.wh.path("stg_keyed"))
+    assert rows(staged.where("product_key IS NULL"), "product_name") == [("Mug",)]
+    # The null key is inserted into the fact but is no key of staging, so this one load does not pass.
+    assert rows(log.where("status = 'FAIL'"), "table_name", "staging_count", "insert_count") == [("fact_price", 1, 2)]
+
+
+def test_first_load_takes_everything(spark, load):
+    load.run_batch(extract(spark), "2024-01-02", days_back=None)
+    assert load.wh.snapshot("dim_product", target(STAR, "dim_product")).count() == 4
+    assert load.audit_log().where("status = 'PASS'").count() == 4
+
+
 def test_an_empty_day_passes(spark, load):
     log = load.replay(extract(spark), "2024-01-02", 5)
     assert log.where("log_date = '2024-01-06' AND staging_count = 0 AND status = 'PASS'").count() == 4

@@ -100,6 +100,31 @@ def test_lookup_null_and_unmatched(spark, rows):
     assert rows(lookup.lookup_key(staging.withColumn("key", F.lit(None).cast("int")), dim, "key", on)) == expected
 
 
+def test_a_hot_key_is_split_at_run_time(spark, plan, tmp_path):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10000",
+    }
+    hot = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k")
+    spark.range(0, 200_000, 1, 8).select(hot, F.xxhash64("id").alias("filler")).write.parquet(f"{tmp_path}/rows")
+    spark.range(200_000).selectExpr("id AS dk", "id * 2 AS key").write.parquet(f"{tmp_path}/dim")
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        keyed = lookup.lookup_key(spark.read.parquet(f"{tmp_path}/rows"), spark.read.parquet(f"{tmp_path}/dim"), "key", {"k": "dk"})
+        sums = keyed.agg(F.sum("key").alias("s"), F.count("key").alias("n"), F.max("filler"))
+        got = sums.collect()[0]
+        assert got.n == 200_000 and got.s == sum(14 if i % 3 == 0 else 2 * i for i in range(200_000))
+        assert "skew=true" in plan(sums)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_push_key(spark, rows):
     dim = spark.createDataFrame([("r1", 1), ("r2", 2), ("r3", 3)], "rid string, pk int")
     source = spark.createDataFrame([("r1", 9, 2), ("r1", 8, 1), ("r2", None, 1)], "review string, pk int, n int")

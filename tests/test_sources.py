@@ -82,6 +82,14 @@ def test_fit_to_target(spark):
     assert all(schemas.target(s, t).fields for s, tables in schemas.TARGETS.items() for t in tables)
 
 
+def test_insert_selects_into_a_typed_table(spark, rows, tmp_path):
+    schema = schemas.target("movies", "dim_genre")
+    for n in (1, 2):
+        added = sinks.insert(spark.createDataFrame([(f"g{n}",)], "Genre string"), f"{tmp_path}/g", schema, {"genre_key": F.lit(n)})
+        assert added == 1
+    assert rows(sinks.read_table(spark, f"{tmp_path}/g")) == [(1, "g1"), (2, "g2")]
+
+
 def test_pick_up_takes_each_file_once(spark, rows, tmp_path):
     lake, raw, seen = f"{tmp_path}/lake", f"{tmp_path}/raw", f"{tmp_path}/seen"
     take = lambda: pick_up(spark, lake, "id bigint", seen, append_to_raw(raw), header=True)
