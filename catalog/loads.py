@@ -210,7 +210,7 @@ def _(t: Tables) -> DataFrame:
         "l_orderkey AS sale_id", "l_linenumber AS line", "l_suppkey AS supplier", "cast(l_quantity AS bigint) AS quantity",
         "l_extendedprice AS extended", "l_partkey AS product_id", "l_suppkey AS user_id",
     )
-    return apply_sales(rows, requests, products, users, BATCH, REQUEST_ORDER)
+    return apply_sales(rows, requests, products, users, BATCH, REQUEST_ORDER, unique_order=False)
 
 
 # --- reviews star -----------------------------------------------------------------------------

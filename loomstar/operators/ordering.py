@@ -46,13 +46,20 @@ def numbered(df: DataFrame, order: Sequence[Column | str], out: str, after: Colu
     )
 
 
-def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str) -> DataFrame:
+def running_total(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str, unique_order: bool = True
+) -> DataFrame:
     """``sum(value) over (partition by keys order by order rows unbounded preceding)``, hot keys included.
 
-    ``keys`` and ``order`` together identify a row. A hot key is cut into range chunks. Each chunk is summed on its own, then raised by the total of
+    A hot key is cut into range chunks. Each chunk is summed on its own, then raised by the total of
     the key's earlier chunks. Each boundary between chunks continues at most one key, so there are
-    fewer such raises than partitions and they can be broadcast.
+    fewer such raises than partitions and they can be broadcast. Pass ``unique_order=False`` when
+    ``keys`` and ``order`` do not identify a row: rows then get a stored tie-break, so that many
+    equal rows can be cut apart too.
     """
+    if not unique_order:
+        df = stored(df.withColumn("_tie", F.monotonically_increasing_id()), "ties")
+        order = [*order, "_tie"]
     rows = in_chunks(df, *keys, *order).withColumn("_chunk", _chunk())
     sums = rows.groupBy(*keys, "_chunk").agg(F.sum(value).alias("_sum"))
     earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
@@ -60,4 +67,4 @@ def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], valu
     within = Window.partitionBy(*keys, "_chunk").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
     raised = null_safe_join(rows, F.broadcast(raises), [*keys, "_chunk"], "left")
     total = F.sum(value).over(within) + F.coalesce(F.col("_raise"), F.lit(0))
-    return raised.withColumn(out, total).drop("_row", "_chunk", "_raise")
+    return raised.withColumn(out, total).drop("_row", "_chunk", "_raise", "_tie")

@@ -30,6 +30,7 @@ def apply_sales(
     batch_date: str,
     order: Sequence[str] = ("request_no",),
     hot_rows: int = HOT_ROWS,
+    unique_order: bool = True,
 ) -> DataFrame:
     """Answer a batch of requests (sale_id, user_id, product_id, quantity and the ``order`` columns) in ``order``.
 
@@ -37,7 +38,7 @@ def apply_sales(
     becomes a fact row whose stock is the product's lowest so far less the quantity, so it is a running
     total and may fall below zero. New rows never exceed the highest stock on record, so acceptance
     needs no replay. An unknown product, or a quantity that is not positive, is refused; an unknown user
-    gives a row with a null key.
+    gives a row with a null key. ``unique_order=False`` allows requests that agree in all ``order`` columns.
     """
     keyed = lookup_key(requests, dim_product.select("product_id", "product_key"), "product_key", ["product_id"])
     keyed = lookup_key(keyed, dim_user.select("user_id", "user_key"), "user_key", ["user_id"])
@@ -45,7 +46,7 @@ def apply_sales(
     stocked = split_join(keyed, stock_levels(fact), ["product_key"], "left", hot)
     accepted = F.coalesce((F.col("quantity") > 0) & (F.col("quantity") <= F.col("_most")), F.lit(False))
     judged = stocked.withColumn("accepted", accepted).withColumn("_taken", F.when(accepted, F.col("quantity")).otherwise(0))
-    totals = running_total(judged, ["product_key"], list(order), "_taken", "_gone")
+    totals = running_total(judged, ["product_key"], list(order), "_taken", "_gone", unique_order)
 
     def if_sold(value):
         return F.when(F.col("accepted"), value)

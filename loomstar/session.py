@@ -15,8 +15,6 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    "spark.sql.session.timeZone": "UTC",
 }
 
 
@@ -34,6 +32,7 @@ def local_session(cores: int = 8, app: str = "loomstar", shuffle_partitions: int
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", memory)
+        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -80,10 +79,10 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Even out a scan of fewer tasks than cores ahead of an operator that multiplies its rows.
+    """Even out a scan of few tasks ahead of an operator that multiplies its rows.
 
-    A file with one row group is one task, however much the task then produces. A scan that already
-    keeps the cluster busy is left alone.
+    A file with one row group is one task, however much the task then produces. A scan that keeps at
+    least half of the cores busy is left alone, so a large table is never shuffled for this.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores / 2 else df

@@ -18,7 +18,8 @@ def write_table(df: DataFrame, path: str, mode: str = "fail", partition_by: Sequ
     """Write Parquet and return the number of rows written, counted by the write itself."""
     seen = Observation()
     observed = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    observed.write.mode(MODES[mode]).partitionBy(*partition_by).parquet(path)
+    writer = observed.write.mode(MODES[mode]).option("partitionOverwriteMode", "static")
+    writer.partitionBy(*partition_by).parquet(path)
     return seen.get["rows"]
 
 

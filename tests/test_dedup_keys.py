@@ -90,6 +90,15 @@ def test_running_total_with_a_key_over_many_chunks(spark):
     assert {r.i: r.total for r in out.collect()} == expected
 
 
+def test_running_total_over_equal_rows(spark):
+    """Half of the rows are the same; their totals must still be spread over chunks and add up."""
+    copies = spark.range(0, 3000, 1, 6).select(F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id")).alias("o"), F.lit(1).alias("v"))
+    out = ordering.running_total(copies.withColumn("k", F.lit("a")), ["k"], ["o"], "v", "total", unique_order=False)
+    assert out.columns == ["o", "v", "k", "total"]
+    assert sorted(r.total for r in out.collect()) == list(range(1, 3001))
+    assert out.where("o = 0").agg(F.max("total")).first()[0] == 1500
+
+
 def test_lookup_null_and_unmatched(spark, rows):
     staging = spark.createDataFrame([(1, "a"), (1, "b"), (None, "a"), (2, "a")], "id int, name string")
     dim = spark.createDataFrame([(1, "a", 10), (2, "a", 20), (None, "a", 30)], "pid int, pname string, key int")

@@ -62,6 +62,17 @@ def test_partition_is_replaced_not_doubled(spark, tmp_path):
     assert sinks.read_table(spark, path).count() == 8
 
 
+def test_replace_takes_out_all_partitions_whatever_the_session_says(spark, tmp_path):
+    path = f"{tmp_path}/s"
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        for part in (1, 2):
+            sinks.write_table(spark.range(3).withColumn("p", F.lit(part)), path, "replace", ["p"])
+        assert sinks.read_table(spark, path).select("p").distinct().count() == 1
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
 def test_jdbc_options():
     whole = readers.jdbc_options("jdbc:x", table="movies", column="id", bounds=(1, 1000), partitions=8)
     assert whole["dbtable"] == "movies" and whole["numPartitions"] == "8" and whole["upperBound"] == "1000"
