@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from loomstar.operators.lookup import missing_rows
+from loomstar.session import stored
 
 CREATED, UPDATED = "created_date", "last_updated_date"
 
@@ -14,7 +15,8 @@ CREATED, UPDATED = "created_date", "last_updated_date"
 def _last_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key, the last in ``order``, and ``_n``, the number of rows it stands for.
 
-    One aggregate with map-side combine; a null key conflicts with nothing, so its rows all stay.
+    One aggregate with map-side combine; a null key conflicts with nothing, so its rows all stay. Stored,
+    because the update and the search for new rows both read it.
     """
     payload = F.struct(*[F.col(f"`{c}`") for c in batch.columns])
     keyed = batch.dropna(subset=list(keys))
@@ -24,7 +26,7 @@ def _last_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -
     for k in keys:
         absent = absent | F.col(k).isNull()
     unkeyed = batch.where(absent).withColumn("_n", F.lit(1).cast("bigint"))
-    return grouped.select("_row.*", "_n").unionByName(unkeyed)
+    return stored(grouped.select("_row.*", "_n").unionByName(unkeyed), "batch")
 
 
 def _apply(
@@ -89,7 +91,8 @@ def upsert(
 
     A matched row is stamped ``last_updated_date``. A new row is stamped ``created_date``, and
     ``last_updated_date`` as well if the batch holds its key more than once, because the later row
-    then updates the earlier. ``unique`` says that the batch holds no key twice and saves the check.
+    then updates the earlier. ``unique`` says that the batch is a table that holds no key twice and
+    saves reducing it.
     """
     day = F.lit(batch_date).cast("date")
     source = batch.withColumn("_n", F.lit(1)) if unique else _last_per_key(batch, keys, order)

@@ -81,8 +81,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Even out a scan of few tasks ahead of an operator that multiplies its rows.
 
-    A file with one row group is one task, however much the task then produces. A scan that keeps at
-    least half of the cores busy is left alone, so a large table is never shuffled for this.
+    A file with one row group is one task, however much the task then produces. A scan that keeps
+    more than half of the cores busy is left alone, so a large table is never shuffled for this.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores / 2 else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() <= cores / 2 else df
