@@ -1,4 +1,4 @@
-"""The reference-shaped sources, derived row by row from the given tables, and the same in SQL.
+"""Review, movie and sales sources derived row by row from the given tables, and the same in SQL.
 
 Every derivation is a projection, so it costs no shuffle and grows with its table.
 """
