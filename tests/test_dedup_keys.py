@@ -45,6 +45,14 @@ def test_ties_and_duplicates_with_and_without_hot_keys(spark, rows, hot_rows):
     assert sorted(r.i for r in dedup.duplicates(df, ["k", "v"], hot_rows).collect()) == repeats
 
 
+def test_the_hot_branch_costs_nothing_without_hot_keys(spark, plan, tmp_path):
+    skewed(spark)[1].write.parquet(f"{tmp_path}/t")
+    ties = dedup.latest_ties(spark.read.parquet(f"{tmp_path}/t"), ["k"], "v")
+    assert "Union" in plan(ties)
+    ties.collect()
+    assert "Union" not in plan(ties).split("Initial Plan")[0]
+
+
 def test_latest_ties_when_all_values_are_null(spark, rows):
     df = spark.createDataFrame([(1, None), (1, None), (2, 5)], "k int, v int")
     assert rows(dedup.latest_ties(df, ["k"], "v")) == [(1, None), (1, None), (2, 5)]
