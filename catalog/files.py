@@ -21,11 +21,11 @@ def _(t: Tables) -> DataFrame:
     return readers.read_csv(t.spark, path, PART_SCHEMA)
 
 
-@query("csv_with_index", "SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part")
+@query("csv_with_index", "SELECT * FROM part")
 def _(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "csv")
     sinks.land_csv(t.part, path, index=True)
-    return readers.read_indexed_csv(t.spark, path)
+    return readers.read_indexed_csv(t.spark, path, PART_SCHEMA)
 
 
 @query(
@@ -53,6 +53,87 @@ def _(t: Tables) -> DataFrame:
     return reshape.flatten_struct(readers.read_ndjson(t.spark, lines, schemas.PRODUCT_DOCUMENT), "rating")
 
 
+@query(
+    "json_array_document",
+    """SELECT p_partkey AS id, p_name AS title, p_retailprice AS price, CAST(p_size / 10.0 AS DOUBLE) AS rate FROM part""",
+)
+def _(t: Tables) -> DataFrame:
+    """API pages, one JSON array per file, read as they are."""
+    pages = scratch_path(t.spark, "pages")
+    sinks.land_json_array(inputs.product_documents(t), pages, page_per_file=True)
+    return readers.read_json_array(t.spark, pages, schemas.PRODUCT_DOCUMENT).select("id", "title", "price", F.col("rating.rate").alias("rate"))
+
+
+def _told_apart(good: DataFrame, bad: DataFrame, key: str) -> DataFrame:
+    counted = good.agg(F.lit("good").alias("side"), F.count(F.lit(1)).alias("row_count"), F.sum(key).alias("key_sum"))
+    return counted.unionByName(bad.agg(F.lit("bad").alias("side"), F.count(readers.BAD).alias("row_count"), F.lit(None).cast("bigint").alias("key_sum")))
+
+
+@query(
+    "ndjson_quarantine",
+    """SELECT 'good' AS side, count(*) AS row_count, CAST(sum(o_orderkey) AS BIGINT) AS key_sum FROM orders WHERE o_orderkey % 7 <> 0
+       UNION ALL SELECT 'bad', count(*), NULL FROM orders WHERE o_orderkey % 7 = 0""",
+)
+def _(t: Tables) -> DataFrame:
+    """Every seventh line is cut short or has a word for a number."""
+    path = scratch_path(t.spark, "ndjson")
+    line = F.to_json(F.struct(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("total")))
+    broken = F.when(F.col("o_orderkey") % 2 == 0, F.substring(line, 1, 12)).otherwise(F.lit('{"id": "many", "total": 1.5}'))
+    t.orders.select(F.when(F.col("o_orderkey") % 7 == 0, broken).otherwise(line).alias("value")).write.text(path)
+    return _told_apart(*readers.quarantine(t.spark, path, "id bigint, total double"), "id")
+
+
+@query(
+    "csv_quarantine",
+    """SELECT 'good' AS side, count(*) AS row_count, CAST(sum(o_orderkey) AS BIGINT) AS key_sum FROM orders WHERE o_orderkey % 5 <> 0
+       UNION ALL SELECT 'bad', count(*), NULL FROM orders WHERE o_orderkey % 5 = 0""",
+)
+def _(t: Tables) -> DataFrame:
+    """Every fifth row has a word for a price."""
+    path = scratch_path(t.spark, "csv")
+    price = F.when(F.col("o_orderkey") % 5 == 0, F.lit("dear")).otherwise(F.col("o_totalprice").cast("string"))
+    sinks.land_csv(t.orders.select("o_orderkey", price.alias("o_totalprice")), path)
+    return _told_apart(*readers.quarantine(t.spark, path, "o_orderkey bigint, o_totalprice double", "csv"), "o_orderkey")
+
+
+@query(
+    "insert_select",
+    """SELECT c_custkey AS user_key, CAST(c_custkey AS VARCHAR) AS user_id, c_name AS user_name FROM customer
+       UNION ALL SELECT s_suppkey, CAST(s_suppkey AS VARCHAR), 'unnamed' FROM supplier""",
+)
+def _(t: Tables) -> DataFrame:
+    """Two inserts into one target: a SELECT, then rows that lack a column with a default."""
+    path, schema = scratch_path(t.spark, "dim_user"), schemas.target("reviews", "dim_user")
+    sinks.insert(t.customer.selectExpr("c_name AS user_name", "c_custkey AS user_id", "c_custkey AS user_key"), path, schema)
+    sinks.insert(t.supplier.selectExpr("s_suppkey AS user_key", "s_suppkey AS user_id"), path, schema, {"user_name": F.lit("unnamed")})
+    return t.spark.read.schema(schema).parquet(path)
+
+
+@query("create_table_as", "SELECT o_custkey, count(*) AS orders FROM orders GROUP BY o_custkey")
+def _(t: Tables) -> DataFrame:
+    path = scratch_path(t.spark, "ctas")
+    name = f"ctas_{path.rpartition('-')[2]}"
+    return sinks.create_table_as(t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("orders")), name, path=path)
+
+
+@query("add_key_columns", "SELECT p_partkey, CAST(NULL AS BIGINT) AS brand_key, CAST(NULL AS VARCHAR) AS note FROM part")
+def _(t: Tables) -> DataFrame:
+    return schemas.add_null_columns(t.part.select("p_partkey"), brand_key="bigint", note="string")
+
+
+@query(
+    "sorted_types",
+    """SELECT unnest(['p_brand', 'p_name', 'p_partkey', 'p_retailprice', 'p_size', 'p_type']) AS column_name,
+         unnest(['string', 'string', 'bigint', 'double', 'int', 'string']) AS kind, unnest(range(1, 7)) AS position,
+         unnest([count(p_brand), count(p_name), count(p_partkey), count(p_retailprice), count(p_size), count(p_type)]) AS filled FROM part""",
+)
+def _(t: Tables) -> DataFrame:
+    """Columns of a table in order of name, with their types and how many rows fill them."""
+    kinds = t.spark.createDataFrame([(c, k, i) for i, (c, k) in enumerate(profile.column_types(t.part), 1)], "column_name string, kind string, position bigint")
+    filled = t.part.agg(*[F.count(c).alias(c) for c in t.part.columns]).unpivot([], t.part.columns, "column_name", "filled")
+    return kinds.join(filled, "column_name")
+
+
 @query(
     "partition_append",
     """SELECT o_orderkey AS id, o_totalprice AS amount, DATE '2001-08-01' AS created_date FROM orders
@@ -149,9 +230,12 @@ def _(t: Tables) -> DataFrame:
     return profile.sample_rows(t.orders.select("o_orderkey", "o_custkey"), 5, seed=7, by=["o_orderkey"])
 
 
-@query("sample_rows_by_layout")
+@query("sample_rows_by_layout", "SELECT 5::BIGINT AS drawn, 5::BIGINT AS different, 5::BIGINT AS known FROM (SELECT count(*) FROM orders)")
 def _(t: Tables) -> DataFrame:
-    return profile.sample_rows(t.orders.select("o_orderkey", "o_custkey"), 5, seed=7)
+    """A draw that depends on how the rows lie: what must hold for every draw."""
+    drawn = profile.sample_rows(t.orders.select("o_orderkey", "o_custkey"), 5, seed=7)
+    known = drawn.join(t.orders.selectExpr("o_orderkey AS k", "o_custkey AS c"), (F.col("o_orderkey") == F.col("k")) & (F.col("o_custkey") == F.col("c")), "left")
+    return known.agg(F.count(F.lit(1)).alias("drawn"), F.countDistinct("o_orderkey").alias("different"), F.count("k").alias("known"))
 
 
 @query(

@@ -8,7 +8,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from catalog.registry import Tables
-from loomstar.session import spread
 
 # Product reviews, one wide row per line item; the number of packed reviews is the line number (1 to 7).
 REVIEW_ORDER = [
@@ -17,6 +16,15 @@ REVIEW_ORDER = [
 ]
 
 
+#: Setting that names the partitions over which a derived source is spread; unset, rows stay where their files put them.
+PARTITIONS = "loomstar.source.partitions"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    wanted = df.sparkSession.conf.get(PARTITIONS, None)
+    return df.repartition(int(wanted)) if wanted else df
+
+
 def review_extract(t: Tables) -> DataFrame:
     def packed(item: str) -> str:
         return f"array_join(transform(sequence(1, l_linenumber), i -> {item}), ',')"

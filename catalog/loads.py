@@ -9,12 +9,13 @@ from catalog.keys import combo
 from catalog.registry import Tables, query
 from loomstar.operators import dedup, merge, project
 from loomstar.operators.audit import audit_row
-from loomstar.operators.stock import apply_sales
+from loomstar.operators.stock import apply_sales, record_sales
 from loomstar.plans import movies, reviews, sales, star
 from loomstar.plans.daily import STAR, DailyReviews
 from loomstar.plans.warehouse import Warehouse
 from loomstar.session import scratch_path, stored
-from loomstar.sources.schemas import target
+from loomstar.sources import sinks
+from loomstar.sources.schemas import fit, target
 
 # --- merges: customers known by the end of 1995, then everything they ordered since -----------
 
@@ -105,6 +106,20 @@ def _(t: Tables) -> DataFrame:
     return merged.select("user_id", "last_order", "created_date")
 
 
+@query(
+    "insert_ignore_null_keys",
+    f"""WITH {MERGE_SQL}, asked AS (SELECT CASE WHEN last_order % 5 <> 0 THEN user_id END AS user_id, last_order, created_date FROM all_orders WHERE created_date >= DATE '{CUTOFF}')
+        SELECT user_id, last_order, created_date FROM known UNION ALL SELECT * FROM asked WHERE user_id IS NULL
+        UNION ALL (SELECT * FROM asked WHERE user_id IS NOT NULL AND user_id NOT IN (SELECT user_id FROM known)
+          QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY created_date, last_order) = 1)""",
+)
+def _(t: Tables) -> DataFrame:
+    """Rows without a key conflict with nothing."""
+    batch = _batch(t).withColumn("user_id", F.when(F.col("last_order") % 5 != 0, F.col("user_id")))
+    merged = merge.insert_ignore(_known(t), batch, ["user_id"], ["created_date", "last_order"])
+    return merged.select("user_id", "last_order", "created_date")
+
+
 # --- facts ------------------------------------------------------------------------------------
 
 
@@ -121,12 +136,14 @@ def _fact_rows(t: Tables) -> DataFrame:
          CASE WHEN l_shipdate < DATE '2001-01-01' THEN DATE '2001-08-01' ELSE DATE '2001-08-02' END AS created_date FROM lineitem""",
 )
 def _(t: Tables) -> DataFrame:
-    """Everything shipped before 2001 is in the fact already; the batch of the day brings the rest."""
+    """Everything shipped before 2001 is in the fact already; the batch of the day is appended to it."""
     rows = _fact_rows(t).drop("sale_id")
     cut = F.lit("2001-01-01").cast("date")
-    history = project.stamp(rows.where(F.col("created_date") < cut), "2001-08-01")
+    path = scratch_path(t.spark, "fact_price")
+    sinks.write_table(project.stamp(rows.where(F.col("created_date") < cut), "2001-08-01"), path)
     staged = project.stamp(rows.where(F.col("created_date") >= cut), BATCH)
-    return history.unionByName(project.batch_of(staged, BATCH))
+    sinks.write_table(project.batch_of(staged, BATCH), path, "append")
+    return sinks.read_table(t.spark, path)
 
 
 @query(
@@ -296,7 +313,19 @@ def _(t: Tables) -> DataFrame:
     f"""WITH {MOVIE_STAR_SQL} SELECT DISTINCT "Gross", "No_of_Votes", movie_key, actor_key, director_key FROM keyed""",
 )
 def _(t: Tables) -> DataFrame:
-    return movies.build(_staged_movies(t))["fact_gross"]
+    return movies.gross_fact(movies.build(_staged_movies(t))["stg_movies"])
+
+
+@query(
+    "movies_fact_keys",
+    f"""WITH {MOVIE_STAR_SQL} SELECT count(*) AS row_count, count(*) AS different, CAST(1 AS BIGINT) AS low, count(*) AS high
+        FROM (SELECT DISTINCT "Gross", "No_of_Votes", movie_key, actor_key, director_key FROM keyed)""",
+)
+def _(t: Tables) -> DataFrame:
+    """The fact's own keys: one each, without gaps."""
+    fact = fit(movies.build(_staged_movies(t))["fact_gross"], target("movies", "fact_gross"))
+    key = F.col("gross_key")
+    return fact.agg(F.count(key).alias("row_count"), F.countDistinct(key).alias("different"), F.min(key).alias("low"), F.max(key).alias("high"))
 
 
 @query(
@@ -341,7 +370,47 @@ ct AS (SELECT *, row_number() OVER (ORDER BY city) AS city_key FROM (SELECT DIST
         FROM combo JOIN p USING ("productId", title) JOIN u USING ("userId", firstname, lastname) JOIN dt USING (date)""",
 )
 def _(t: Tables) -> DataFrame:
-    return sales.build(stored(combo(t), "stg_combo"), inputs.SALES_ORDER)["sale_fact_table"]
+    return sales.sale_fact(sales.build(stored(combo(t), "stg_combo"), inputs.SALES_ORDER)["stg_combo_table"])
+
+
+@query(
+    "sales_second_load",
+    f"""WITH {SALES_STAR_SQL},
+        first AS (SELECT "productId", title, row_number() OVER (ORDER BY "productId", title) AS product_key FROM
+          (SELECT DISTINCT "productId", title FROM combo WHERE id % 2 = 0)),
+        later AS (SELECT "productId", title, (SELECT count(*) FROM first) + row_number() OVER (ORDER BY "productId", title) AS product_key FROM
+          (SELECT DISTINCT "productId", title FROM combo ANTI JOIN first USING ("productId", title)))
+        SELECT id AS sale_id, quantity, product_key FROM combo JOIN (FROM first UNION ALL FROM later) USING ("productId", title)""",
+)
+def _(t: Tables) -> DataFrame:
+    """Half of the carts make the first load; the second one keeps its keys and goes on from them."""
+    staging = stored(combo(t), "stg_combo")
+    before = sales.build(staging.where("id % 2 = 0"), inputs.SALES_ORDER)
+    known = {name: stored(before[name], name) for name in ("dim_product", "dim_user", "dim_city", "dim_date")}
+    star_ = sales.build(staging, inputs.SALES_ORDER, existing=known)
+    return sales.sale_fact(star_["stg_combo_table"]).select("sale_id", "quantity", "product_key")
+
+
+@query(
+    "apply_sales_to_star",
+    f"""WITH {SALES_STAR_SQL},
+        level AS (SELECT "productId", title, max(count) AS most, min(count) AS least, any_value(price) AS price FROM combo GROUP BY ALL),
+        asked AS (SELECT o_orderkey AS sale_id, o_custkey AS user_id, o_custkey + 1 AS product_id, CAST(1 + o_orderkey % 40 AS BIGINT) AS quantity FROM orders),
+        sold AS (SELECT sale_id, quantity, price * quantity AS total_sale,
+            CAST(least - sum(quantity) OVER (PARTITION BY "productId" ORDER BY sale_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS stock
+          FROM asked JOIN level ON product_id = "productId" WHERE quantity <= most)
+        SELECT sale_id, quantity, total_sale, stock, (SELECT count(DISTINCT date) + 1 FROM combo) AS date_key,
+          CAST((SELECT count(*) FROM combo) AS BIGINT) AS earlier FROM sold""",
+)
+def _(t: Tables) -> DataFrame:
+    """Requests of a new day against the sales star: its date is added, and the sales go on from the fact's keys."""
+    star_ = sales.build(stored(combo(t), "stg_combo"), inputs.SALES_ORDER)
+    fact, dates = stored(star_["sale_fact_table"], "fact"), stored(star_["dim_date"], "dates")
+    asked = t.orders.selectExpr("o_orderkey AS sale_id", "o_custkey AS user_id", "o_custkey + 1 AS product_id", "cast(1 + o_orderkey % 40 AS bigint) AS quantity")
+    answered = apply_sales(fact, asked, star_["dim_product"], star_["dim_user"], BATCH, ["sale_id"])
+    _, sold = record_sales(fact, dates, answered, BATCH)
+    lowest = sold.agg(F.min("sale_key") - 1).scalar()
+    return sold.select("sale_id", "quantity", "total_sale", "stock", "date_key", lowest.alias("earlier"))
 
 
 @query(
@@ -391,6 +460,21 @@ def _(t: Tables) -> DataFrame:
     return load.replay(_daily_source(t), "2024-01-02", 3).select(*AUDIT_COLUMNS)
 
 
+@query(
+    "daily_rerun_audit",
+    f"""WITH {DAILY_SQL} SELECT table_name, count(*) AS staging_count, count(*) FILTER (created_date = first_day AND n = 1) AS insert_count,
+          count(*) FILTER (created_date > first_day OR n > 1) AS update_count, 'PASS' AS status, created_date AS log_date
+        FROM members JOIN firsts USING (table_name, id) GROUP BY table_name, created_date
+        UNION ALL SELECT 'fact_price', count(DISTINCT product_id), count(DISTINCT product_id), 0, 'PASS', created_date FROM staged GROUP BY created_date""",
+)
+def _(t: Tables) -> DataFrame:
+    """Three batch dates, and the first one again: the days after it are built anew upon it."""
+    load, source = DailyReviews(Warehouse(t.spark, scratch_path(t.spark, "daily")), DAILY_ORDER), _daily_source(t)
+    load.replay(source, "2024-01-02", 3)
+    load.run_batch(source, "2024-01-02")
+    return load.audit_log().select(*AUDIT_COLUMNS)
+
+
 @query(
     "daily_dim_product",
     f"""WITH {DAILY_SQL},

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from loomstar.operators.skew import HOT_ROWS, hot_among, split_join
+from loomstar.operators.skew import HOT_ROWS, HOT_SHARE, hot_among, split_join
 
 
 def distinct_rows(df: DataFrame, *columns: str) -> DataFrame:
@@ -37,20 +37,23 @@ def latest_row(df: DataFrame, keys: Sequence[str], by: str, tie_break: Sequence[
     return keep_first(df, keys, [F.col(by).desc(), *tie_break])
 
 
-def latest_ties(df: DataFrame, keys: Sequence[str], by: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def latest_ties(df: DataFrame, keys: Sequence[str], by: str, hot_rows: int = HOT_ROWS, hot_share: float = HOT_SHARE) -> DataFrame:
     """All rows per key that share the greatest ``by``, as ``rank() = 1`` would give.
 
-    The greatest value is pre-aggregated and joined back, so a key whose ties are a large share of the
-    table is never sorted in one task. Null keys form a group, as in a window.
+    The greatest values are an aggregate over the two columns alone. Rows below their task's own greatest value are cut by
+    a window over (key, salt), whose group limit stands in front of its shuffle, so only tied rows travel; the salt spreads
+    a key with many ties. What is left is joined with the greatest values, hot keys map-side. Null keys form a group.
     """
+    salted = df.withColumn("_salt", F.spark_partition_id())
+    near = salted.withColumn("_rank", F.rank().over(Window.partitionBy(*keys, "_salt").orderBy(F.col(by).desc_nulls_last()))).where("_rank = 1").drop("_rank", "_salt")
     summary = df.groupBy(*keys).agg(F.max(by).alias("_top"), F.count(F.lit(1)).alias("_n"))
-    hot = hot_among(summary, keys, hot_rows=hot_rows)
-    joined = split_join(df, summary.drop("_n"), keys, "inner", hot)
+    hot = hot_among(summary, keys, hot_rows=hot_rows, hot_share=hot_share)
+    joined = split_join(near, summary.drop("_n"), keys, "inner", hot)
     return joined.where(F.col(by).eqNullSafe(F.col("_top"))).drop("_top")
 
 
-def duplicates(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def duplicates(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, hot_share: float = HOT_SHARE) -> DataFrame:
     """Every row whose key occurs more than once; null keys count as equal."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-    hot = hot_among(counts, keys, hot_rows=hot_rows)
+    hot = hot_among(counts, keys, hot_rows=hot_rows, hot_share=hot_share)
     return split_join(df, counts.drop("_n"), keys, "left_semi", hot)

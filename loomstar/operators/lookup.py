@@ -75,14 +75,14 @@ def push_key(
         checks = [c for k in keys for c in (f"_min_{k}", f"_max_{k}")]
     same = _all([F.col(f"`{d}`") == F.col(n) for d, n in zip(pairs, names)])
     joined = dim.join(first.withColumn("_hit", F.lit(True)), same, "left")
+    for k in keys if strict else ():
+        clash = F.concat(F.lit(f"several {k} values for "), F.concat_ws(", ", *[F.col(n).cast("string") for n in names]))
+        # as a filter the check runs whichever columns are asked for
+        joined = joined.where(F.when(F.col(f"_min_{k}") != F.col(f"_max_{k}"), F.raise_error(clash).cast("boolean")).otherwise(True))
 
     def value(k: str) -> Column:
-        new: Column = F.col(f"_new_{k}")
-        if strict:
-            clash = F.concat(F.lit(f"several {k} values for "), F.concat_ws(", ", *[F.col(n).cast("string") for n in names]))
-            new = F.when(F.col(f"_min_{k}") != F.col(f"_max_{k}"), F.raise_error(clash)).otherwise(new)
         old = F.col(k) if k in dim.columns else F.lit(None)
-        return F.when(F.col("_hit"), new).otherwise(old)
+        return F.when(F.col("_hit"), F.col(f"_new_{k}")).otherwise(old)
 
     return joined.withColumns({k: value(k) for k in keys}).drop("_hit", *[f"_new_{k}" for k in keys], *checks, *names)
 

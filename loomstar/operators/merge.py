@@ -12,6 +12,13 @@ from loomstar.session import stored
 CREATED, UPDATED = "created_date", "last_updated_date"
 
 
+def _lacks_key(keys: Sequence[str]) -> Column:
+    absent = F.lit(False)
+    for k in keys:
+        absent = absent | F.col(k).isNull()
+    return absent
+
+
 def _last_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key, the last in ``order``, and ``_n``, the number of rows it stands for.
 
@@ -22,10 +29,7 @@ def _last_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -
     keyed = batch.dropna(subset=list(keys))
     ordered = F.struct(*[F.col(c) for c in order]) if order else F.lit(0)
     grouped = keyed.groupBy(*keys).agg(F.max_by(payload, ordered).alias("_row"), F.count(F.lit(1)).alias("_n"))
-    absent = F.lit(False)
-    for k in keys:
-        absent = absent | F.col(k).isNull()
-    unkeyed = batch.where(absent).withColumn("_n", F.lit(1).cast("bigint"))
+    unkeyed = batch.where(_lacks_key(keys)).withColumn("_n", F.lit(1).cast("bigint"))
     return stored(grouped.select("_row.*", "_n").unionByName(unkeyed), "batch")
 
 
@@ -50,8 +54,6 @@ def _apply(
     for k in keys:
         same = same & (F.col(k) == F.col(f"s_{k}"))
     hit = F.col("_hit").isNotNull()
-    if guard is not None:
-        hit = hit & guard
 
     def updated(c: str) -> Column:
         if c in on_update:
@@ -60,7 +62,9 @@ def _apply(
             return F.when(hit, F.col(f"s_{c}")).otherwise(F.col(c)).alias(c)
         return F.col(c)
 
-    kept = target.join(source, same, "left").select(*[updated(c) for c in target.columns])
+    matched = target.join(source, same, "left")
+    # as a filter the check runs whichever columns are asked for
+    kept = (matched if guard is None else matched.where(~hit | guard)).select(*[updated(c) for c in target.columns])
     touched = target.select(*keys).join(updates.select(*keys), list(keys), "left_semi")
     fresh = missing_rows(inserts, touched, keys)
     fresh = fresh.withColumnsRenamed({c: f"s_{c}" for c in inserts.columns})
@@ -148,7 +152,13 @@ def stamp_from_source() -> tuple[dict[str, Column], dict[str, Column]]:
 
 
 def insert_ignore(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
-    """Insert that leaves existing rows alone; the first row of a new key in ``order`` is added."""
+    """Insert that leaves existing rows alone; the first row of a new key in ``order`` is added.
+
+    A null in a key conflicts with nothing, so all such rows are added.
+    """
     order = list(order) or list(batch.columns)
-    first = batch.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    return target.unionByName(missing_rows(first.where("_rank = 1").drop("_rank"), target, keys), allowMissingColumns=True)
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    full = batch.dropna(subset=list(keys))
+    first = full.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+    unkeyed = batch.where(_lacks_key(keys))
+    return target.unionByName(missing_rows(first, target, keys), allowMissingColumns=True).unionByName(unkeyed, allowMissingColumns=True)

@@ -7,21 +7,22 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-# A key is hot when it has at least this many rows and at least this share of all rows. The share
-# bounds the number of hot keys at 1 / HOT_SHARE however large the table, so they can be broadcast.
+# Defaults of ``hot_rows`` and ``hot_share``: a key is hot when it has at least so many rows and at least such a share of all
+# rows. The share bounds the number of hot keys at 1 / hot_share however large the table, so they can be broadcast. Both only
+# choose how rows travel; the result is the same.
 HOT_ROWS = 1_000_000
 HOT_SHARE = 1e-5
 
 
-def hot_among(counts: DataFrame, keys: Sequence[str], rows: str = "_n", hot_rows: int = HOT_ROWS) -> DataFrame:
+def hot_among(counts: DataFrame, keys: Sequence[str], rows: str = "_n", hot_rows: int = HOT_ROWS, hot_share: float = HOT_SHARE) -> DataFrame:
     """The hot keys of a table of row counts per key."""
-    least = F.greatest(F.lit(float(hot_rows)), counts.agg(F.sum(rows)).scalar() * HOT_SHARE)
+    least = F.greatest(F.lit(float(hot_rows)), counts.agg(F.sum(rows)).scalar() * hot_share)
     return counts.where(F.col(rows) >= least).select(*keys)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, hot_share: float = HOT_SHARE) -> DataFrame:
     """The hot keys of a table, counted with map-side combine."""
-    return hot_among(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), keys, hot_rows=hot_rows)
+    return hot_among(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), keys, hot_rows=hot_rows, hot_share=hot_share)
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:

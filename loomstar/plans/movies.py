@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, functions as F
 
 from loomstar.operators.lookup import bridge, bridge_through, push_key
@@ -16,35 +18,43 @@ def stage_movies(movies: DataFrame) -> DataFrame:
     return star.stage_movies(movies, MOVIE_TYPES)
 
 
-def build(staging: DataFrame) -> dict[str, DataFrame]:
-    """All tables of the star. The fact's grain is movie by actor, so summing ``Gross`` over it counts
+def build(staging: DataFrame, existing: Mapping[str, DataFrame] | None = None) -> star.Star:
+    """All tables of the star, each built when asked for. ``existing`` has the tables of earlier loads: their keys stay.
 
-    a movie once per actor.
+    The fact's grain is movie by actor, so summing ``Gross`` over it counts a movie once per actor.
     """
-    title = {"Series_Title": "Series_Title", "Released_Year": "Released_Year"}
-    directors = star.build_dim(staging, ["Director"], ["Director"], "director_key")
-    actors = star.build_dim(staging, ["Actor_Name"], ["Actor_Name"], "actor_key")
-    genres = star.build_dim(staging, ["Genre"], ["Genre"], "genre_key")
-    movies = star.build_dim(staging, MOVIE, list(title), "movie_key")
-    keyed = star.load_keys(
-        staging,
-        [
-            (movies, "movie_key", title),
-            (actors, "actor_key", {"Actor_Name": "Actor_Name"}),
-            (directors, "director_key", {"Director": "Director"}),
-        ],
-    )
-    fact_measures = {"Gross": F.col("Gross"), "No_of_Votes": F.col("No_of_Votes")}
-    return {
-        "stg_movies": keyed,
-        "dim_director": directors,
-        "dim_actor": actors,
-        "dim_genre": genres,
-        "dim_movie": push_key(movies, keyed, "director_key", ["movie_key"], ["director_key"]),
-        "director_actor": bridge(keyed, "director_key", "actor_key"),
-        "actor_movie": bridge(keyed, "actor_key", "movie_key"),
-        "genre_movie": bridge_through(keyed, [(genres, "genre_key", ["Genre"])], "movie_key"),
-        "fact_gross": star.build_fact(
-            keyed, fact_measures, ["movie_key", "actor_key", "director_key"], grain="distinct"
+    known, title = existing or {}, {"Series_Title": "Series_Title", "Released_Year": "Released_Year"}
+
+    def named(column: str, key: str, table: str) -> DataFrame:
+        return star.build_dim(staging, [column], [column], key, (), known.get(table))
+
+    def movies(t: star.Star) -> DataFrame:
+        members = t["_movies"]
+        if "dim_movie" in known:
+            members = members.join(known["dim_movie"].select("movie_key", "director_key"), "movie_key", "left")
+        return push_key(members, t["stg_movies"], "director_key", ["movie_key"], ["director_key"])
+
+    return star.Star(
+        stg_movies=lambda t: star.load_keys(
+            staging,
+            [
+                (t["_movies"], "movie_key", title),
+                (t["dim_actor"], "actor_key", {"Actor_Name": "Actor_Name"}),
+                (t["dim_director"], "director_key", {"Director": "Director"}),
+            ],
         ),
-    }
+        dim_director=lambda t: named("Director", "director_key", "dim_director"),
+        dim_actor=lambda t: named("Actor_Name", "actor_key", "dim_actor"),
+        dim_genre=lambda t: named("Genre", "genre_key", "dim_genre"),
+        _movies=lambda t: star.build_dim(staging, MOVIE, list(title), "movie_key", (), known.get("dim_movie")),
+        dim_movie=movies,
+        director_actor=lambda t: bridge(t["stg_movies"], "director_key", "actor_key"),
+        actor_movie=lambda t: bridge(t["stg_movies"], "actor_key", "movie_key"),
+        genre_movie=lambda t: bridge_through(t["stg_movies"], [(t["dim_genre"], "genre_key", ["Genre"])], "movie_key"),
+        fact_gross=lambda t: gross_fact(t["stg_movies"], "gross_key", known.get("fact_gross")),
+    )
+
+
+def gross_fact(keyed: DataFrame, serial: str | None = None, existing: DataFrame | None = None) -> DataFrame:
+    measures = {"Gross": F.col("Gross"), "No_of_Votes": F.col("No_of_Votes")}
+    return star.build_fact(keyed, measures, ["movie_key", "actor_key", "director_key"], "distinct", (), serial, existing)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from loomstar.functions import clean
@@ -60,33 +62,39 @@ def user_dim_source(staging: DataFrame, private: list[str] | None = None) -> Dat
     return masked.withColumn("street", clean.title_case("street"))
 
 
-def build(staging: DataFrame, order: list[Column | str], private: list[str] | None = None) -> dict[str, DataFrame]:
-    products = star.build_dim(staging, PRODUCT, ["product_id", "product_name"], "product_key", order)
-    users = star.build_dim(
-        user_dim_source(staging, private), USER, ["user_id", "first_name", "last_name"], "user_key", order
-    )
-    dates = star.date_dim(staging, "date")
-    cities = star.build_dim(staging, ["city"], ["city"], "city_key")
-    keyed = star.load_keys(
-        staging,
-        [
-            (products, "product_key", {"productId": "product_id", "title": "product_name"}),
-            (users, "user_key", {"userId": "user_id", "firstname": "first_name", "lastname": "last_name"}),
-            (dates, "date_key", {"date": "sale_date"}),
-        ],
+def build(
+    staging: DataFrame, order: list[Column | str], private: list[str] | None = None, existing: Mapping[str, DataFrame] | None = None
+) -> star.Star:
+    """All tables of the star, each built when asked for. ``existing`` has the tables of earlier loads: their keys stay."""
+    known = existing or {}
+
+    def users(t: star.Star) -> DataFrame:
+        members = t["_users"]
+        if "dim_user" in known:
+            members = members.join(known["dim_user"].select("user_key", "city_key"), "user_key", "left")
+        return push_key_through(members, staging, t["dim_city"], "city_key", {"user_id": "userId"}, {"city": "city"}, ["city_key"])
+
+    return star.Star(
+        stg_combo_table=lambda t: star.load_keys(
+            staging,
+            [
+                (t["dim_product"], "product_key", {"productId": "product_id", "title": "product_name"}),
+                (t["_users"], "user_key", {"userId": "user_id", "firstname": "first_name", "lastname": "last_name"}),
+                (t["dim_date"], "date_key", {"date": "sale_date"}),
+            ],
+        ),
+        dim_product=lambda t: star.build_dim(staging, PRODUCT, ["product_id", "product_name"], "product_key", order, known.get("dim_product")),
+        dim_city=lambda t: star.build_dim(staging, ["city"], ["city"], "city_key", (), known.get("dim_city")),
+        _users=lambda t: star.build_dim(
+            user_dim_source(staging, private), USER, ["user_id", "first_name", "last_name"], "user_key", order, known.get("dim_user")
+        ),
+        dim_user=users,
+        dim_date=lambda t: star.date_dim(staging, "date", existing=known.get("dim_date")),
+        sale_fact_table=lambda t: sale_fact(t["stg_combo_table"], "sale_key", known.get("sale_fact_table")),
     )
-    users = push_key_through(users, staging, cities, "city_key", {"user_id": "userId"}, {"city": "city"}, ["city_key"])
-    return {
-        "stg_combo_table": keyed,
-        "dim_product": products,
-        "dim_city": cities,
-        "dim_user": users,
-        "dim_date": dates,
-        "sale_fact_table": sale_fact(keyed),
-    }
 
 
-def sale_fact(keyed: DataFrame) -> DataFrame:
+def sale_fact(keyed: DataFrame, serial: str | None = None, existing: DataFrame | None = None) -> DataFrame:
     """Every cart line, with its total."""
     measures = {
         "sale_id": F.col("id"),
@@ -95,4 +103,4 @@ def sale_fact(keyed: DataFrame) -> DataFrame:
         "total_sale": F.col("price") * F.col("quantity"),
         "stock": F.col("count"),
     }
-    return star.build_fact(keyed, measures, ["product_key", "user_key", "date_key"])
+    return star.build_fact(keyed, measures, ["product_key", "user_key", "date_key"], serial=serial, existing=existing)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -10,6 +10,26 @@ from loomstar.functions import clean
 from loomstar.operators import conform, dedup, project, reshape
 from loomstar.operators.keys import with_dense_key, with_hash_key, with_serial
 from loomstar.operators.lookup import lookup_key
+from loomstar.operators.skew import null_safe_join
+
+
+class Star(Mapping[str, DataFrame]):
+    """Tables of a star by name. A table is built when it is first asked for, along with those it needs and no others."""
+
+    def __init__(self, **makers: Callable[[Star], DataFrame]):
+        self._makers = makers
+        self._made: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._makers[name](self)
+        return self._made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return (name for name in self._makers if not name.startswith("_"))
+
+    def __len__(self) -> int:
+        return sum(1 for _ in self)
 
 
 def stage(
@@ -50,7 +70,8 @@ def build_dim(
     """Dimension members: chosen columns, renamed, first row per business key, surrogate key in front.
 
     ``columns`` maps staging names to dimension names. With ``order`` empty the whole row is the order.
-    ``hash_namespace`` asks for string keys by hash, otherwise keys are dense integers.
+    ``hash_namespace`` asks for string keys by hash, otherwise keys are dense integers. ``existing`` holds the members of
+    earlier loads: they come out as they are, in front of the new ones, whose integer keys go on from theirs.
     """
     names = dict(columns) if isinstance(columns, Mapping) else {c: c for c in columns}
     if set(business_key) == set(names.values()):
@@ -64,14 +85,23 @@ def build_dim(
         keyed = with_hash_key(members, key, hash_namespace, business_key)
     else:
         keyed = with_dense_key(members, key, business_key, existing)
-    return keyed.select(key, *members.columns)
+    return _after(existing, keyed.select(key, *[F.col(f"`{c}`") for c in members.columns]), business_key)
+
+
+def _after(existing: DataFrame | None, keyed: DataFrame, business_key: Sequence[str]) -> DataFrame:
+    """Earlier members, then those of ``keyed`` that are not among them."""
+    if existing is None:
+        return keyed
+    fresh = null_safe_join(keyed, existing.select(*business_key), list(business_key), "left_anti")
+    return existing.select(*[F.col(f"`{c}`") for c in keyed.columns]).unionByName(fresh)
 
 
 def date_dim(staging: DataFrame, date_column: str, key: str = "date_key", existing: DataFrame | None = None) -> DataFrame:
     """One member per calendar day, with month and year."""
     days = staging.select(clean.to_day(date_column).alias("sale_date")).distinct()
     parts = days.withColumn("month", clean.month_of("sale_date")).withColumn("year", clean.year_of("sale_date"))
-    return with_dense_key(parts, key, ["sale_date"], existing).select(key, "sale_date", "month", "year")
+    keyed = with_dense_key(parts, key, ["sale_date"], existing).select(key, "sale_date", "month", "year")
+    return _after(existing, keyed, ["sale_date"])
 
 
 def load_keys(staging: DataFrame, dims: Sequence[tuple[DataFrame, str, Mapping[str, str]]]) -> DataFrame:
@@ -93,7 +123,8 @@ def build_fact(
     """Fact rows from keyed staging.
 
     ``grain`` is ``rows`` (every staging row), ``distinct`` (every distinct tuple) or the columns of
-    which one row each is kept, the first in ``order``. ``serial`` names the fact's own key.
+    which one row each is kept, the first in ``order``. ``serial`` names the fact's own integer key, which goes on after
+    those in ``existing``; numbering rows stores them once.
     """
     chosen = [m.alias(name) for name, m in measures.items()] + [F.col(k) for k in keys]
     if grain == "rows":

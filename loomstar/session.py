@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,31 +44,61 @@ def local_session(cores: int = 8, app: str = "loomstar", shuffle_partitions: int
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``, else one made for this run."""
+    """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``, else the context's checkpoint folder.
+
+    A local session makes one for this run. On a cluster a folder of the driver's machine would lose rows, so it is refused.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        if not _one_machine(context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="loomstar-"))
     return context.getCheckpointDir()
 
 
+def _one_machine(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def _application_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark).rstrip('/')}/loomstar/{spark.sparkContext.applicationId}"
 
 
+_open_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path under the shared folder, never used twice."""
-    return f"{_application_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{_application_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if _open_scopes:
+        _open_scopes[-1].append(path)
+    return path
 
 
-def drop_scratch(spark: SparkSession) -> None:
-    """Delete what this application stored with ``stored``; call it when its results are written."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(_application_dir(spark))
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Frees what is stored inside the block when the block ends; nothing read from it may be used later."""
+    _open_scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _open_scopes.pop():
+            _delete(spark, path)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete all that this application stored with ``stored``; call it when its results are written."""
+    _delete(spark, _application_dir(spark))
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
@@ -76,13 +108,3 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Even out a scan of few tasks ahead of an operator that multiplies its rows.
-
-    A file with one row group is one task, however much the task then produces. A scan that keeps
-    more than half of the cores busy is left alone, so a large table is never shuffled for this.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() <= cores / 2 else df

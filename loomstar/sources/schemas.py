@@ -102,13 +102,17 @@ def target(star: str, table: str) -> StructType:
 def fit(df: DataFrame, schema: StructType | str, defaults: Mapping[str, Column] | None = None) -> DataFrame:
     """Project rows to a target schema: by name, cast, missing columns from ``defaults`` or null.
 
-    A column of ``df`` that the target does not have is an error, not silently lost.
+    A column of ``df`` that the target does not have is an error, not silently lost. So is a missing first column, the
+    target's own key, unless ``defaults`` has it.
     """
     schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     unknown = [c for c in df.columns if c not in schema.names]
     if unknown:
         raise ValueError(f"not in the target: {', '.join(unknown)}")
     defaults = defaults or {}
+    own = schema.names[0]
+    if own not in df.columns and own not in defaults:
+        raise ValueError(f"no values for the key {own}")
 
     def value(field) -> Column:
         c = F.col(f"`{field.name}`") if field.name in df.columns else defaults.get(field.name, F.lit(None))

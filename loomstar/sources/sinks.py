@@ -56,13 +56,13 @@ def land_ndjson(df: DataFrame, path: str, mode: str = "fail") -> None:
     df.write.mode(MODES[mode]).option("ignoreNullFields", False).json(path)
 
 
-def land_json_array(df: DataFrame, path: str, page_rows: int = 1000, mode: str = "fail") -> None:
-    """JSON arrays of at most ``page_rows`` objects, as an API pages them, one array per line of text."""
+def land_json_array(df: DataFrame, path: str, page_rows: int = 1000, mode: str = "fail", page_per_file: bool = False) -> None:
+    """JSON arrays of at most ``page_rows`` objects, as an API pages them, one array per line of text, or per file."""
     record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"})
     rows = numbered(df.select(record.alias("_json")), [], "_n")
     page = F.floor((F.col("_n") - 1) / page_rows)
     array = F.concat(F.lit("["), F.array_join(F.collect_list("_json"), ","), F.lit("]"))
-    rows.groupBy(page.alias("_page")).agg(array.alias("value")).select("value").write.mode(MODES[mode]).text(path)
+    rows.groupBy(page.alias("_page")).agg(array.alias("value")).select("value").write.mode(MODES[mode]).option("maxRecordsPerFile", 1 if page_per_file else 0).text(path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

@@ -21,9 +21,13 @@ def pick_up(
     """Feed each new file under ``source`` to ``handle(rows, batch_id)`` once, then stop.
 
     The checkpoint remembers the files taken. A batch that failed part-way is offered again under the
-    same id, so ``handle`` should replace what it wrote under that id. Returns the number of batches run.
+    same id, so ``handle`` should replace what it wrote under that id. A record that does not fit fails the
+    batch, unless ``mode`` says otherwise. Returns the number of batches run.
     """
-    reader = spark.readStream.schema(schema).format(fmt).options(**options)
+    strict = {"mode": "FAILFAST"} if fmt in ("csv", "json") else {}
+    if fmt == "csv":
+        strict |= {"escape": '"', "enforceSchema": False, "columnPruning": False}
+    reader = spark.readStream.schema(schema).format(fmt).options(**strict | options)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     ran: list[int] = []

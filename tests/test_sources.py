@@ -84,11 +84,13 @@ def test_jdbc_options():
 
 def test_fit_to_target(spark):
     rows = spark.createDataFrame([("7", "Pen")], "product_id string, product_name string")
-    fitted = schemas.fit(rows, schemas.target("sales", "dim_product"), {"rating": F.lit(1)})
+    fitted = schemas.fit(rows, schemas.target("sales", "dim_product"), {"rating": F.lit(1), "product_key": F.lit(3)})
     assert fitted.schema.names == schemas.target("sales", "dim_product").names
     assert fitted.first().product_id == 7 and fitted.first().rating == 1.0 and fitted.first().category is None
     with pytest.raises(ValueError, match="oops"):
         schemas.fit(rows.withColumn("oops", F.lit(1)), schemas.target("sales", "dim_product"))
+    with pytest.raises(ValueError, match="product_key"):
+        schemas.fit(rows, schemas.target("sales", "dim_product"))
     assert schemas.add_null_columns(rows, product_key="bigint").dtypes[-1] == ("product_key", "bigint")
     assert all(schemas.target(s, t).fields for s, tables in schemas.TARGETS.items() for t in tables)
 
