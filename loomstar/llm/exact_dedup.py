@@ -14,7 +14,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from loomstar.llm.tables import sized
 from loomstar.session import scratch_path, stored
 
-ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STATE = "spark.sql.streaming.stateStore"
+#: State on disk. There is a store for each partition, so none sets disk aside ahead of need, and a batch uploads its changes only.
+STATE_SETTINGS = {
+    f"{_STATE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{_STATE}.rocksdb.allowFAllocate": "false",
+    f"{_STATE}.rocksdb.changelogCheckpointing.enabled": "true",
+}
 #: Files of arrivals per micro-batch; state lives on from one to the next.
 FILES_PER_BATCH = 4096
 
@@ -29,16 +35,15 @@ def sha256(body: Column) -> Column:
 
 
 @contextmanager
-def _setting(spark: SparkSession, key: str, value: str):
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
+def _settings(spark: SparkSession, wanted: dict[str, str]):
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def located(docs: DataFrame) -> DataFrame:
@@ -75,7 +80,7 @@ def run_state(spark: SparkSession, folder: str, schema, checkpoint: str, files_p
     def keep(batch: DataFrame, number: int) -> None:
         batch.select(F.lit(number).alias("batch"), "*").write.mode("overwrite").parquet(f"{entries}/batch-{number:09d}")
 
-    with _setting(spark, "spark.sql.streaming.stateStore.providerClass", ROCKS):
+    with _settings(spark, STATE_SETTINGS):
         source = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
         query = (
             keyed_state(source).writeStream.outputMode("update").foreachBatch(keep)
