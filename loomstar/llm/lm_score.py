@@ -110,7 +110,8 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, doc_id: str
     ids = target_ids.select(target_ids[target_ids.columns[0]].cast("long").alias("target_id")).where("target_id IS NOT NULL").distinct()
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     tokens = Tokens(vocabulary(docs, F.col(text), size))
-    flagged = rows.join(ids, F.col("id") == F.col("target_id"), "left").select("text", F.col("target_id").isNotNull().alias("target"))
+    # texts move once, at every size alike; no bound is known for the ids
+    flagged = rows.join(ids.hint("merge"), F.col("id") == F.col("target_id"), "left").select("text", F.col("target_id").isNotNull().alias("target"))
     counts = stored(trigram_counts(flagged, tokens), "trigrams").toPandas()  # at most size ** 3 rows
     table = np.zeros((2, tokens.size**3))
     table[0, counts["trigram"]] = counts["target"]
