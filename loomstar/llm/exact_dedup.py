@@ -100,7 +100,11 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", dig
     without id only if no other has one, and of rows with one id the first by place. Exactly one row of each text is kept.
     An empty table gives no rows. Other columns do not matter.
     """
-    spark, placed = docs.sparkSession, located(docs)
+    return _decided(located(docs), doc_id, text, digest, files_per_batch)
+
+
+def _decided(placed: DataFrame, doc_id: str, text: str, digest=sha256, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    spark = placed.sparkSession
     folder = scratch_path(spark, "arrivals")
     came = arrivals(placed, doc_id, text, digest)
     came.write.parquet(folder)
@@ -137,6 +141,7 @@ def _by_bytes(hits: DataFrame) -> DataFrame:
 
 def drop_exact_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the copies; all columns as they were."""
-    placed, found = located(docs), exact_dedup(docs, doc_id, text)
+    placed = located(docs)
+    found = _decided(placed, doc_id, text)
     gone = stored(found.where("NOT kept").select("_file", "_at"), "copies")
     return placed.join(sized(gone, 100_000), ["_file", "_at"], "left_anti").select(*[placed[c] for c in docs.columns])
