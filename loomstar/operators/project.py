@@ -9,10 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from loomstar.functions import clean
 
 
-def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
-    return df.withColumnsRenamed(dict(names))
-
-
 def subset(df: DataFrame, columns: Sequence[str], names: Mapping[str, str] | None = None) -> DataFrame:
     """Column subset, renamed on the way."""
     names = names or {}

@@ -63,11 +63,31 @@ def user_dim_source(staging: DataFrame, private: list[str] | None = None) -> Dat
 
 
 def build(
-    staging: DataFrame, order: list[Column | str], private: list[str] | None = None, existing: Mapping[str, DataFrame] | None = None
+    staging: DataFrame,
+    order: list[Column | str],
+    private: list[str] | None = None,
+    existing: Mapping[str, DataFrame] | None = None,
+    hashed: bool = False,
 ) -> star.Star:
-    """All tables of the star, each built when asked for. ``existing`` has the tables of earlier loads: their keys stay."""
+    """All tables of the star, each built when asked for. ``existing`` has the tables of earlier loads: their keys stay.
+
+    ``hashed`` asks for string keys of products, users and cities by hash: staging then gets them by expression. Dates are
+    few, and the fact's rows may repeat, so these two keep integers.
+    """
     known = existing or {}
 
+    def space(table: str) -> str | None:
+        return table if hashed else None
+
+    def keyed(t: star.Star) -> DataFrame:
+        dates = (t["dim_date"], "date_key", {"date": "sale_date"})
+        if hashed:
+            users = ("dim_user", "user_key", ["userId", "firstname", "lastname"])
+            return star.load_keys(star.hashed_keys(staging, [("dim_product", "product_key", ["productId", "title"]), users]), [dates])
+        products = (t["dim_product"], "product_key", {"productId": "product_id", "title": "product_name"})
+        users = (t["_users"], "user_key", {"userId": "user_id", "firstname": "first_name", "lastname": "last_name"})
+        return star.load_keys(staging, [products, users, dates])
+
     def users(t: star.Star) -> DataFrame:
         members = t["_users"]
         if "dim_user" in known:
@@ -75,18 +95,11 @@ def build(
         return push_key_through(members, staging, t["dim_city"], "city_key", {"user_id": "userId"}, {"city": "city"}, ["city_key"])
 
     return star.Star(
-        stg_combo_table=lambda t: star.load_keys(
-            staging,
-            [
-                (t["dim_product"], "product_key", {"productId": "product_id", "title": "product_name"}),
-                (t["_users"], "user_key", {"userId": "user_id", "firstname": "first_name", "lastname": "last_name"}),
-                (t["dim_date"], "date_key", {"date": "sale_date"}),
-            ],
-        ),
-        dim_product=lambda t: star.build_dim(staging, PRODUCT, ["product_id", "product_name"], "product_key", order, known.get("dim_product")),
-        dim_city=lambda t: star.build_dim(staging, ["city"], ["city"], "city_key", (), known.get("dim_city")),
+        stg_combo_table=keyed,
+        dim_product=lambda t: star.build_dim(staging, PRODUCT, ["product_id", "product_name"], "product_key", order, known.get("dim_product"), space("dim_product")),
+        dim_city=lambda t: star.build_dim(staging, ["city"], ["city"], "city_key", (), known.get("dim_city"), space("dim_city")),
         _users=lambda t: star.build_dim(
-            user_dim_source(staging, private), USER, ["user_id", "first_name", "last_name"], "user_key", order, known.get("dim_user")
+            user_dim_source(staging, private), USER, ["user_id", "first_name", "last_name"], "user_key", order, known.get("dim_user"), space("dim_user")
         ),
         dim_user=users,
         dim_date=lambda t: star.date_dim(staging, "date", existing=known.get("dim_date")),

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from loomstar.functions import clean
+from loomstar.functions.keys import hash_key
 from loomstar.operators import conform, dedup, project, reshape
 from loomstar.operators.keys import with_dense_key, with_hash_key, with_serial
 from loomstar.operators.lookup import lookup_key
@@ -82,18 +84,17 @@ def build_dim(
         first = dedup.keep_first(project.subset(staging, needed), source_key, list(order) or list(names))
         members = project.subset(first, list(names), names)
     if hash_namespace is not None:
+        if existing is not None:
+            members = null_safe_join(members, existing.select(*business_key), list(business_key), "left_anti")
         keyed = with_hash_key(members, key, hash_namespace, business_key)
     else:
         keyed = with_dense_key(members, key, business_key, existing)
-    return _after(existing, keyed.select(key, *[F.col(f"`{c}`") for c in members.columns]), business_key)
+    return _after(existing, keyed.select(key, *[F.col(f"`{c}`") for c in members.columns]))
 
 
-def _after(existing: DataFrame | None, keyed: DataFrame, business_key: Sequence[str]) -> DataFrame:
-    """Earlier members, then those of ``keyed`` that are not among them."""
-    if existing is None:
-        return keyed
-    fresh = null_safe_join(keyed, existing.select(*business_key), list(business_key), "left_anti")
-    return existing.select(*[F.col(f"`{c}`") for c in keyed.columns]).unionByName(fresh)
+def _after(existing: DataFrame | None, fresh: DataFrame) -> DataFrame:
+    """Earlier members, then new ones."""
+    return fresh if existing is None else existing.select(*[F.col(f"`{c}`") for c in fresh.columns]).unionByName(fresh)
 
 
 def date_dim(staging: DataFrame, date_column: str, key: str = "date_key", existing: DataFrame | None = None) -> DataFrame:
@@ -101,7 +102,7 @@ def date_dim(staging: DataFrame, date_column: str, key: str = "date_key", existi
     days = staging.select(clean.to_day(date_column).alias("sale_date")).distinct()
     parts = days.withColumn("month", clean.month_of("sale_date")).withColumn("year", clean.year_of("sale_date"))
     keyed = with_dense_key(parts, key, ["sale_date"], existing).select(key, "sale_date", "month", "year")
-    return _after(existing, keyed, ["sale_date"])
+    return _after(existing, keyed)
 
 
 def load_keys(staging: DataFrame, dims: Sequence[tuple[DataFrame, str, Mapping[str, str]]]) -> DataFrame:
@@ -111,6 +112,19 @@ def load_keys(staging: DataFrame, dims: Sequence[tuple[DataFrame, str, Mapping[s
     return staging
 
 
+def hashed_keys(staging: DataFrame, dims: Sequence[tuple[str, str, Sequence[str]]]) -> DataFrame:
+    """Hash keys of several dimensions into staging by expression, with no join: (namespace, key, staging columns of the business key).
+
+    A null in the business key gives a null key, as a lookup would.
+    """
+
+    def key(namespace: str, columns: Sequence[str]) -> Column:
+        full = reduce(lambda x, y: x & y, [F.col(f"`{c}`").isNotNull() for c in columns])
+        return F.when(full, hash_key(namespace, *columns))
+
+    return staging.withColumns({name: key(namespace, columns) for namespace, name, columns in dims})
+
+
 def build_fact(
     staging: DataFrame,
     measures: Mapping[str, Column],

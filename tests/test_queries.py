@@ -4,8 +4,9 @@ from pathlib import Path
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
-from tools.compare import sorted_rows, sql_rows, table_connection
+from __spark_entry__ import entry
+from catalog.registry import QUERIES, SQL
+from tools.compare import SAME_TYPE, sorted_rows, sql_rows, table_connection
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="test tables absent")
@@ -16,20 +17,20 @@ def con():
     return table_connection(SF)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    df = queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     mine = [tuple(r) for r in df.collect()]
-    if name in oracle_sql():
-        names, theirs, _ = sql_rows(con, oracle_sql()[name])
-        assert sorted(df.columns) == sorted(names)
+    if name in SQL:
+        names, theirs, types = sql_rows(con, SQL[name])
+        assert {n: SAME_TYPE.get(t, t) for n, t in df.dtypes} == dict(zip(names, types))
         assert sorted_rows(df.columns, mine) == sorted_rows(names, theirs)
 
 
 def test_no_query_pairs_everything_with_everything(spark, plan):
     cheap = ["audit_upsert", "apply_sales", "latest_ties", "duplicate_report", "upsert_customer", "newest_batch", "bridge_through_dim", "dense_keys_next_batch"]
     for name in cheap:
-        text = plan(queries()[name](spark, SF))
+        text = plan(QUERIES[name](spark, SF))
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
 
 

@@ -113,6 +113,23 @@ def test_an_older_day_runs_again(spark, tmp_path, rows, day):
     assert load.wh.snapshot("dim_product", target_of("dim_product")).where("category = 'other'").count() > 0
 
 
+def test_a_day_writes_its_own_rows_only(spark, tmp_path, rows):
+    source = extract(spark)
+    load = DailyReviews(Warehouse(spark, str(tmp_path)), ORDER)
+    load.replay(source, "2024-01-02", 3)
+    schema = schemas.target(STAR, "dim_product")
+    assert [r[0] for r in rows(load.wh.day("dim_product", schema, "2024-01-04"), "product_id")] == ["p4"]
+    now = rows(load.wh.snapshot("dim_product", schema))
+    assert len(now) == 4
+    load.wh.compact("dim_product", schema, "2024-01-03")
+    load.wh.forget_before("dim_product", "2024-01-03")
+    assert rows(load.wh.snapshot("dim_product", schema)) == now and load.wh.versions("dim_product") == ["2024-01-04"]
+    with pytest.raises(ValueError):
+        load.wh.forget_before("dim_user", "2024-01-03")
+    wanted = spark.createDataFrame([("p1",), ("p9",)], "id string")
+    assert rows(load.wh.snapshot("dim_product", schema, only=wanted), "product_id") == [("p1",)]
+
+
 def test_price_rows_of_every_staged_row(spark, tmp_path):
     load = DailyReviews(Warehouse(spark, str(tmp_path)), ORDER, grain="rows")
     log = load.replay(extract(spark), "2024-01-02", 3)
@@ -148,6 +165,19 @@ def test_only_what_is_asked_for_is_built(spark, monkeypatch):
     assert asked == ["product_key", "user_key"]
 
 
+def test_hash_keys_need_no_dimension(spark, monkeypatch):
+    staging = session.stored(reviews.stage_reviews(extract(spark)), "stg")
+    asked = []
+    real = reviews.star.build_dim
+    monkeypatch.setattr(reviews.star, "build_dim", lambda *a, **k: asked.append(a[3]) or real(*a, **k))
+    star = reviews.build(staging, ["review_id"], hashed=True)
+    fact = star["fact_price"]
+    assert not asked
+    assert fact.join(star["dim_product"], "product_key", "left_anti").count() == 0 and fact.select("price_key").distinct().count() == fact.count() == 6
+    later = reviews.build(staging, ["review_id"], hashed=True, existing={"dim_product": session.stored(star["dim_product"].limit(2), "some")})
+    assert sorted(map(tuple, later["dim_product"].collect())) == sorted(map(tuple, star["dim_product"].collect()))
+
+
 def test_a_target_without_its_key_is_refused(spark):
     with pytest.raises(ValueError, match="no values for the key product_key"):
         schemas.fit(spark.range(1).select(F.lit("a").alias("product_id")), schemas.target("reviews", "dim_product"))
