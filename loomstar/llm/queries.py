@@ -33,6 +33,10 @@ def _query(name: str, sql: str | None = None):
     return add
 
 
+#: A-Z as a-z, in DuckDB.
+_LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
 def _joined(parts: Column) -> Column:
     return F.array_join(parts, ",")
 
@@ -75,7 +79,16 @@ def op5(read):
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("t.score").alias("score"), (F.col("t.score") >= 0.3).cast("int").alias("predicted"), F.size("t.hits").alias("n_hits"))
 
 
-@_query("op6_near_dup")
+@_query("op6_near_dup", rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOW}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, ws[i:i + 3] AS sh FROM d, unnest(range(1, greatest(len(ws) - 4, 0) + 2)) AS t(i) WHERE len(ws) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (SELECT x, y FROM pairs JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * shared >= 80 * (p.n + q.n - shared)),
+reach AS (SELECT doc_id, doc_id AS other FROM d UNION SELECT r.doc_id, l.y FROM reach r JOIN link l ON r.other = l.x)
+SELECT r.doc_id, any_value(coalesce(n.n, 0)) AS n_shingles, min(other) AS component_id, r.doc_id = min(other) AS kept
+FROM reach r LEFT JOIN n ON r.doc_id = n.doc_id GROUP BY r.doc_id
+""")
 def op6(read):
     return near_dup.near_dup(read("documents"), size=4).withColumnRenamed("id", "doc_id")
 
@@ -127,7 +140,17 @@ def op9(read):
     return pieces(read("documents"))
 
 
-@_query("op10_decontaminate")
+@_query("op10_decontaminate", rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+bw AS (SELECT DISTINCT item_id, least(10, len(ws)) AS k, ws[i:i + least(10, len(ws)) - 1] AS win FROM b, unnest(range(1, greatest(len(ws) - 10, 0) + 2)) AS t(i) WHERE len(ws) > 0),
+dw AS (SELECT doc_id, i, k, ws[i:i + k - 1] AS win FROM d, (SELECT DISTINCT k FROM bw), unnest(range(1, len(ws) - k + 2)) AS t(i)),
+hits AS (SELECT doc_id, i, k, item_id FROM dw JOIN bw USING (k, win)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hits) GROUP BY doc_id),
+item AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN item ON d.doc_id = item.doc_id
+""")
 def op10(read):
     docs = read("documents")
     found = docs.select("doc_id", decontaminate.benchmark_hits(docs, read("benchmark"), docs["text"]).alias("h"))

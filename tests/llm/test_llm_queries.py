@@ -6,7 +6,7 @@ import pytest
 
 import corpus_pipeline
 from loomstar.llm.queries import QUERIES, SQL
-from tools.compare import sorted_rows, sql_rows, table_connection
+from tools.compare import SAME_TYPE, sorted_rows, sql_rows, table_connection
 
 SF = "/root/testdata/sf0.01"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="test tables absent")
@@ -15,8 +15,8 @@ pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="test tables absen
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_beside_sql(spark, name):
     df = QUERIES[name](spark, SF)
-    names, theirs, _ = sql_rows(table_connection(SF), SQL[name])
-    assert sorted(df.columns) == sorted(names)
+    names, theirs, types = sql_rows(table_connection(SF), SQL[name])
+    assert {n: SAME_TYPE[t] for n, t in df.dtypes} == dict(zip(names, types))
     assert sorted_rows(df.columns, [tuple(r) for r in df.collect()]) == sorted_rows(names, theirs)
 
 
