@@ -69,9 +69,9 @@ def fit(counts: np.ndarray, label: np.ndarray, calibrate: np.ndarray, languages:
         model.temperature = min((0.25 * 1.25**k for k in range(20)), key=loss)
         found = model.probabilities(counts[held])
         right = np.sort(found.max(axis=1)[found.argmax(axis=1) == label[held]])
-        # the share REJECTED of right rows lies below; a little less than the least one where rows are too few to tell
-        rank = int(REJECTED * len(right))
-        model.least = float(right[rank] if rank else 0.9 * right[0]) if len(right) else 0.0
+        # the share REJECTED of right rows lies below; where rows are too few to tell, a quarter of the way from chance to the least
+        rank, chance = int(REJECTED * len(right)), 1 / classes
+        model.least = float(right[rank] if rank else chance + (right[0] - chance) / 4) if len(right) else 0.0
     return model
 
 
