@@ -17,7 +17,7 @@ from loomstar.llm.wordbytes import ALNUM, Batch, batch_words, groups
 
 WINDOW = 10
 #: Bytes of documents per shard, and benchmark words that are broadcast and searched at once; more take further blocks.
-SHARD_BYTES, BLOCK_WORDS = 4 << 20, 1 << 20
+SHARD_BYTES, BLOCK_WORDS = 2 << 20, 1 << 20
 
 RESULT = "n_words long, n_hit long, items array<string>, spans array<array<long>>, cleaned string"
 

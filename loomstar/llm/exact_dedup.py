@@ -20,6 +20,8 @@ STATE_SETTINGS = {
     f"{_STATE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     f"{_STATE}.rocksdb.allowFAllocate": "false",
     f"{_STATE}.rocksdb.changelogCheckpointing.enabled": "true",
+    f"{_STATE}.rocksdb.boundedMemoryUsage": "true",  # one cache for all stores of an executor
+    f"{_STATE}.rocksdb.maxMemoryUsageMB": "128",
 }
 #: Files of arrivals per micro-batch; state lives on from one to the next.
 FILES_PER_BATCH = 4096

@@ -22,7 +22,7 @@ from loomstar.session import scratch_path
 
 LENGTH = 4096
 #: Chunks whose ids a task remembers; it then starts anew.
-REMEMBERED = 1_500_000
+REMEMBERED = 400_000
 #: Chunks encoded in one call.
 TOGETHER = 1000
 
@@ -145,7 +145,7 @@ def encoded(docs: DataFrame, path: str, end_id: int, doc_id: str, text: str) ->
             for at in range(0, len(frame), 4 * BATCH_ROWS):
                 rows = frame.iloc[at : at + 4 * BATCH_ROWS]
                 made = []
-                for _, raw in groups(rows["text"].tolist(), 8 * PIECE):
+                for _, raw in groups(rows["text"].tolist(), 2 * PIECE):
                     made += [np.append(x, np.uint32(end_id)).astype("<u4") for x in coder.encode(raw)]
                 n = np.array([len(x) for x in made])
                 start = before + np.cumsum(n) - n
