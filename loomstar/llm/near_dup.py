@@ -200,8 +200,9 @@ def links(docs: DataFrame, nodes: DataFrame, doc_id: str, text: str, size: int,
     hub = weighed.groupBy("key").agg(F.max(F.struct("weight", "node")).alias("top")).select("key", F.col("top.node").alias("group"))
     members = tables.select("key", "node").join(hub, "key").select("group", "node").distinct()
     members = stored(members.join(nodes.select("node", "id", "n", "h1", "h2"), "node"), "members")
-    total = members.groupBy("group").agg((F.floor(F.sum("n") * 8 / tile_bytes) + 1).cast("int").alias("tiles"))
-    dealt = members.join(total, "group").withColumn("mine", F.when(F.col("group") == F.col("node"), -1).otherwise(F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")))
+    # only groups too large for one tile are named, and there are at most (bytes of all sets) / tile_bytes of them
+    total = members.groupBy("group").agg((F.floor(F.sum("n") * 8 / tile_bytes) + 1).cast("int").alias("tiles")).where("tiles > 1")
+    dealt = members.join(sized(stored(total, "tiles")), "group", "left").fillna(1, ["tiles"]).withColumn("mine", F.when(F.col("group") == F.col("node"), -1).otherwise(F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")))
     # the hub goes to every pair of tiles, any other member to the pairs with its own tile
     others = F.sequence(F.lit(0), F.col("tiles") - 1)
     pairs = F.when(F.col("tiles") == 1, F.array(F.struct(F.lit(0).alias("tile_a"), F.lit(0).alias("tile_b")))).when(
