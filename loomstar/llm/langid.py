@@ -10,10 +10,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from loomstar.llm.grams import word_grams
 from loomstar.llm.tables import BATCH_ROWS, fraction_of, held_out, prepare, taken
+from loomstar.session import stored
 
 SIZES, BUCKETS, WIDTH = (1, 2, 3), 4096, 16
 #: Labelled rows that are learned from, and languages (the most frequent ones), at most.
-SAMPLE_ROWS, LANGUAGES = 4000, 200
+SAMPLE_ROWS, LANGUAGES = 3000, 200
 #: Share of labelled rows kept for calibration, and the share of right rows that rejection may cost.
 CALIBRATION, REJECTED = 0.25, 0.0002
 UNDETERMINED = "und"
@@ -28,7 +29,7 @@ class Model:
     least: float  # a lower score is rejected
 
     def probabilities(self, counts: np.ndarray) -> np.ndarray:
-        mean = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
+        mean = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1e-9)
         return _softmax((mean @ self.table + self.bias) / self.temperature)
 
 
@@ -37,10 +38,9 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def fit(counts: np.ndarray, label: np.ndarray, calibrate: np.ndarray, languages: list[str], prior: np.ndarray, epochs: int = 40, seed: int = 1) -> Model:
-    """Stochastic gradient descent over rows of n-gram counts; ``calibrate`` marks rows used for calibration alone."""
+def fit(mean: np.ndarray, label: np.ndarray, calibrate: np.ndarray, languages: list[str], prior: np.ndarray, epochs: int = 40, seed: int = 1) -> Model:
+    """Stochastic gradient descent over rows of n-gram shares; ``calibrate`` marks rows used for calibration alone."""
     rng, classes = np.random.default_rng(seed), len(languages)
-    mean = (counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)).astype(np.float32)
     embed = rng.normal(0, 0.3, (BUCKETS, WIDTH)).astype(np.float32)
     out, bias = rng.normal(0, 0.3, (WIDTH, classes)).astype(np.float32), np.zeros(classes, np.float32)
     rows = np.flatnonzero(~calibrate) if (~calibrate).any() else np.arange(len(label))
@@ -61,13 +61,14 @@ def fit(counts: np.ndarray, label: np.ndarray, calibrate: np.ndarray, languages:
     bias = bias + np.log(np.maximum(prior, 1e-9)) - np.log(np.maximum(share, 1e-9)).astype(np.float32)
     model = Model(languages, (embed @ out).astype(np.float32), bias.astype(np.float32), 1.0, 0.0)
     held = np.flatnonzero(calibrate)
+    known = mean[held]
     if len(held):
         def loss(t: float) -> float:
             model.temperature = t
-            return -np.log(np.maximum(model.probabilities(counts[held])[np.arange(len(held)), label[held]], 1e-12)).mean()
+            return -np.log(np.maximum(model.probabilities(known)[np.arange(len(held)), label[held]], 1e-12)).mean()
 
         model.temperature = min((0.25 * 1.25**k for k in range(20)), key=loss)
-        found = model.probabilities(counts[held])
+        found = model.probabilities(known)
         right = np.sort(found.max(axis=1)[found.argmax(axis=1) == label[held]])
         # the share REJECTED of right rows lies below; where rows are too few to tell, a quarter of the way from chance to the least
         rank, chance = int(REJECTED * len(right)), 1 / classes
@@ -88,14 +89,19 @@ def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     sample = rows.where(taken(F.col("lang"), F.col("id"), shares, 11)).limit(2 * sample_rows)
 
     @F.pandas_udf("binary")
-    def counts(texts: pd.Series) -> pd.Series:
-        return pd.Series([x.astype(np.uint32).tobytes() for x in word_grams(texts.tolist(), SIZES, BUCKETS)])
-
-    found = sample.select("lang", (fraction_of(F.col("id"), 12) < CALIBRATION).alias("calibrate"), counts("text").alias("counts")).toPandas()
-    matrix = np.stack([np.frombuffer(x, np.uint32) for x in found["counts"]]).astype(np.float32)
-    label = np.searchsorted(names, found["lang"].to_numpy(str))
+    def shares_of(texts: pd.Series) -> pd.Series:
+        counts = word_grams(texts.tolist(), SIZES, BUCKETS)
+        counts /= np.maximum(counts.sum(axis=1, keepdims=True), 1)
+        return pd.Series([x.tobytes() for x in counts.astype(np.float16)])
+
+    # stored, then taken row by row, so the driver holds one matrix of at most 2 * sample_rows rows
+    found = stored(sample.select("lang", (fraction_of(F.col("id"), 12) < CALIBRATION).alias("calibrate"), shares_of("text").alias("shares")), "shares")
+    n = found.count()
+    mean, label, calibrate = np.zeros((n, BUCKETS), np.float32), np.zeros(n, np.int64), np.zeros(n, bool)
+    for i, row in enumerate(found.toLocalIterator()):
+        mean[i], label[i], calibrate[i] = np.frombuffer(row["shares"], np.float16), names.index(row["lang"]), bool(row["calibrate"])
     prior = np.array([total[k] for k in names], float)
-    return fit(matrix, label, found["calibrate"].fillna(False).to_numpy(bool), names, prior / prior.sum())
+    return fit(mean, label, calibrate, names, prior / prior.sum())
 
 
 def predict(docs: DataFrame, model: Model | None, text: Column) -> Column:
