@@ -24,7 +24,7 @@ from loomstar.session import stored
 SHINGLE, NEAR = 5, 80
 SIDE, ROWS = 8, 2
 #: Bytes of shingle sets that one comparison holds in memory (a pair of tiles holds twice as much).
-TILE_BYTES = 16 << 20
+TILE_BYTES = 4 << 20
 
 _FACTORS = mixed(np.arange(1, 2 * SIDE * ROWS + 1, dtype=np.uint64) * np.uint64(0x9FB21C651E98DF25)) | np.uint64(1)
 _SUMS = mixed(np.array([0x5851F42D4C957F2D, 0x14057B7EF767814F], np.uint64)) | np.uint64(1)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 #: Rows of at most three numbers that may be broadcast (about 10 MB); a larger side is joined by a shuffle.
 BROADCAST_ROWS = 400_000
 #: Rows handed to Python at once, so that a batch of long texts stays small.
-BATCH_ROWS = 500
+BATCH_ROWS = 250
 
 
 def sized(df: DataFrame, most_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -28,7 +28,7 @@ _shipped: set[str] = set()
 
 def prepare(spark: SparkSession) -> None:
     """Before Python runs in tasks: give the executors this package, and Arrow batches fewer rows than Spark's 10,000, since a row may be a very long text."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(2 * BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         _shipped.add(context.applicationId)
