@@ -1,48 +1,140 @@
-"""Cross-entropy difference: two n-gram models over one vocabulary, one of target documents and one of the whole corpus.
+"""Cross-entropy difference: two word bigram models over one vocabulary, one of target documents and one of the whole corpus.
 
-Tokens are characters. The vocabulary is the ``VOCABULARY`` most frequent ones of the whole corpus; all others are one more
-token. Both models are trigram models with the same smoothing, and the corpus counts are scaled to the target's total, so
-neither is smoothed more than the other. Counts are taken over all documents and summed by Spark; there are at most
-(VOCABULARY + 2) ** 3 of them, whatever the input's size.
+Tokens are words; each sign, and each character of a script written without spaces, is one by itself. No token is left out:
+counts of all unigrams and bigrams of all documents are kept, so they grow with the input. Both models have the same smoothing.
+
+Documents are packed into chunks of about ``CHUNK`` characters. A chunk sends each of its n-grams once, with its counts, to the
+bucket of the n-gram's hash; the bucket adds up what all chunks sent and answers each. A frequent n-gram is thus one entry for
+each chunk, and there are as many buckets as the input needs for each to hold about ``BUCKET`` characters' n-grams.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, functions as F
 
 from loomstar.llm.grams import codes, slices
-from loomstar.llm.tables import BATCH_ROWS, prepare
+from loomstar.llm.tables import prepare
 from loomstar.session import stored
 
-VOCABULARY = 126
-#: Weights of trigram, bigram, unigram and uniform estimates.
+#: Weights of trigram, bigram, unigram and uniform estimates of ``losses``.
 MIXTURE = (0.6, 0.25, 0.1, 0.05)
-
-
-def _bins(value: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    count = np.bincount(value, minlength=size)
-    used = np.flatnonzero(count)
-    return used, count[used]
-
-
-def vocabulary(docs: DataFrame, text: Column, size: int = VOCABULARY) -> np.ndarray:
-    """The most frequent code points of all texts, sorted."""
-
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(0x110000, np.int64)
-        for frame in frames:
-            for group in slices(frame["text"].tolist()):
-                used, n = _bins(codes("".join(part.lower() for _, part in group)), 1)
-                total[used] += n
-        used = np.flatnonzero(total)
-        yield pd.DataFrame({"code": used, "n": total[used]})
-
-    found = docs.select(text.alias("text")).mapInPandas(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    return np.sort(found.orderBy(F.desc("n"), "code").limit(size).toPandas()["code"].to_numpy(np.int64))
+#: Weights of bigram, unigram and uniform estimates of words.
+WORD_MIXTURE = (0.6, 0.35, 0.05)
+#: Characters of documents that are packed together, and of those whose n-grams one bucket holds.
+CHUNK, BUCKET = 1 << 22, 1 << 22
+#: Bits of an n-gram's hash.
+BITS = 48
+#: Scripts that are written without spaces (first and last code points): each character is a token.
+UNSPACED = ((0x0E00, 0x0EFF), (0x0F00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x31FF), (0x3400, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
+_words: list[np.ndarray] = []
+
+
+def word_table() -> np.ndarray:
+    """bool per code point: whether it goes on a word begun before it."""
+    if not _words:
+        table = np.fromiter((unicodedata.category(chr(i))[0] in "LMN" for i in range(0x110000)), bool, 0x110000)
+        for first, last in UNSPACED:
+            table[first : last + 1] = False
+        _words.append(table)
+    return _words[0]
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+_START, _END = _mixed(np.array([1 << 40, 2 << 40], np.uint64))
+
+
+def word_tokens(group: list[tuple[int, str]]) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each token, place of its text in the group): each text begins with a start and ends with an end, and one without a character has neither."""
+    parts = [(k, part.lower()) for k, (_, part) in enumerate(group) if part]
+    if not parts:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    value = codes("".join(f"\0{part}\0" for _, part in parts))
+    size = np.array([len(part) + 2 for _, part in parts])
+    begin = np.cumsum(size) - size
+    inside = word_table()[value]
+    begins = ~inside
+    begins[1:] |= ~inside[:-1]
+    gap = value == 32  # the first of several spaces parts words, the others are tokens
+    gap[1:] &= value[:-1] != 32
+    at = np.flatnonzero(begins)
+    place = np.arange(len(value)) - np.repeat(at, np.diff(np.append(at, len(value))))
+    hashes = _mixed(np.add.reduceat(_mixed(value.astype(np.uint64) + (place.astype(np.uint64) << np.uint64(21)) + np.uint64(1)), at))
+    doc = np.repeat([k for k, _ in parts], size)[at]
+    hashes[np.searchsorted(at, begin)] = _START
+    hashes[np.searchsorted(at, begin + size - 1)] = _END
+    keep = ~gap[at]
+    return hashes[keep], doc[keep]
+
+
+def _grams(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(unigram, bigram that ends there) of each token, of ``BITS`` bits; a start ends no bigram that counts."""
+    pair = hashes.copy()
+    pair[1:] = _mixed(hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[1:])
+    return hashes >> np.uint64(64 - BITS), pair >> np.uint64(64 - BITS)
+
+
+def _counted(value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values, sorted, and how often each occurs."""
+    return np.unique(value, return_counts=True)
+
+
+def _planes(value: np.ndarray) -> bytes:
+    """The first bytes of all numbers, then the second ones: high bytes are mostly 0, so this is stored in little space."""
+    return np.ascontiguousarray(value.view(np.uint8).reshape(-1, value.itemsize).T).tobytes()
+
+
+def _numbers(raw: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def _packed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows (id, text) to chunks."""
+    ids, texts, held, number = [], [], 0, 0
+    codec = pa.Codec("zstd", 6)
+
+    def chunk() -> pd.DataFrame:
+        whole = "".join(texts).encode("utf-8", "surrogatepass")
+        name = (TaskContext.get().partitionId() << 32) + number
+        return pd.DataFrame({"chunk": [name], "ids": [ids], "sizes": [[len(t) for t in texts]], "bytes": [len(whole)], "texts": [codec.compress(whole, asbytes=True)]})
+
+    for frame in frames:
+        for id_, text in zip(frame["id"], frame["text"]):
+            ids.append(None if pd.isna(id_) else int(id_))
+            texts.append(text if isinstance(text, str) else "")
+            held += len(texts[-1])
+            if held >= CHUNK:
+                yield chunk()
+                ids, texts, held, number = [], [], 0, number + 1
+    if ids:
+        yield chunk()
+
+
+def _texts(row) -> list[str]:
+    whole = pa.Codec("zstd").decompress(row.texts, decompressed_size=row.bytes, asbytes=True).decode("utf-8", "surrogatepass") if row.bytes else ""
+    ends = np.cumsum(row.sizes).tolist()
+    return [whole[a:b] for a, b in zip([0, *ends], ends)]
+
+
+def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(unigram, bigram, text number) of every token of a chunk."""
+    found = []
+    for group in slices(texts):
+        hashes, k = word_tokens(group)
+        found.append((*_grams(hashes), np.array([i for i, _ in group], np.int64)[k] if len(k) else k))
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
 class Tokens:
@@ -65,26 +157,6 @@ class Tokens:
         return number, np.append(first, len(slot))
 
 
-def trigram_counts(rows: DataFrame, tokens: Tokens) -> DataFrame:
-    """(trigram, target, corpus): counts over rows (text, target) of the target's documents and of all."""
-    shared = rows.sparkSession.sparkContext.broadcast(tokens)
-
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = shared.value
-        total = np.zeros((2, known.size**3), np.int64)
-        for frame in frames:
-            for wanted in (False, True):
-                texts = frame["text"][frame["target"] == wanted].tolist()
-                for group in slices(texts):
-                    number, _ = known.trigrams(group)
-                    used, n = _bins(number, 1)
-                    total[int(wanted), used] += n
-        used = np.flatnonzero(total.any(axis=0))
-        yield pd.DataFrame({"trigram": used, "target": total[1, used], "corpus": total.sum(axis=0)[used]})
-
-    return rows.mapInPandas(count, "trigram long, target long, corpus long").groupBy("trigram").agg(F.sum("target").alias("target"), F.sum("corpus").alias("corpus"))
-
-
 def losses(count: np.ndarray, size: int) -> np.ndarray:
     """float32[size ** 3]: negative log2 probability of each trigram's last token, interpolated with shorter contexts."""
     tri = count.reshape(size, size, size).astype(np.float64)
@@ -98,8 +170,8 @@ def losses(count: np.ndarray, size: int) -> np.ndarray:
     return -np.log2(found).astype(np.float32).ravel()
 
 
-def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = VOCABULARY) -> DataFrame:
-    """One row per row of ``docs``: id, n_tokens, target_loss, corpus_loss (bits per token), score (their difference; lower: more like the target).
+def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per row of ``docs``: id, n_tokens (characters), target_loss, corpus_loss (bits per character), score (their difference; lower: more like the target).
 
     ``target_ids`` has the ids (first column) of the target's documents. A null or empty text has no tokens, losses and score of
     0. Without target documents all target losses are those of a model without counts. Repeated rows count each time, and
@@ -109,31 +181,64 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, doc_id: str
     prepare(spark)
     ids = target_ids.select(target_ids[target_ids.columns[0]].cast("long").alias("target_id")).where("target_id IS NOT NULL").distinct()
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    tokens = Tokens(vocabulary(docs, F.col(text), size))
-    # texts move once, at every size alike; no bound is known for the ids
-    flagged = rows.join(ids.hint("merge"), F.col("id") == F.col("target_id"), "left").select("text", F.col("target_id").isNotNull().alias("target"))
-    counts = stored(trigram_counts(flagged, tokens), "trigrams").toPandas()  # at most size ** 3 rows
-    table = np.zeros((2, tokens.size**3))
-    table[0, counts["trigram"]] = counts["target"]
-    table[1, counts["trigram"]] = counts["corpus"]
-    if table[0].sum():
-        table[1] *= table[0].sum() / table[1].sum()  # matched: both models rest on as many tokens
-    model = spark.sparkContext.broadcast((tokens, losses(table[0], tokens.size), losses(table[1], tokens.size)))
-
-    @F.pandas_udf("n_tokens long, target_loss double, corpus_loss double")
-    def judge(texts: pd.Series) -> pd.DataFrame:
-        known, target, corpus = model.value
-        out = np.zeros((len(texts), 3))
-        for at in range(0, len(texts), BATCH_ROWS):
-            for group in slices(texts.iloc[at : at + BATCH_ROWS].tolist()):
-                number, first = known.trigrams(group)
-                size = np.diff(first)
-                full = np.flatnonzero(size)
-                sums = [np.add.reduceat(t[number].astype(np.float64), first[full]) for t in (target, corpus)] if len(full) else [(), ()]
-                for k, a, b in zip(full.tolist(), *sums):  # a long text comes in parts, each with a start of its own
-                    out[at + group[k][0]] += [size[k], a, b]
-        n = np.maximum(out[:, 0], 1)
-        return pd.DataFrame({"n_tokens": out[:, 0].astype(np.int64), "target_loss": out[:, 1] / n, "corpus_loss": out[:, 2] / n})
-
-    scored = rows.select("id", judge("text").alias("s"))
-    return scored.select("id", "s.*", (F.col("s.target_loss") - F.col("s.corpus_loss")).alias("score"))
+    chunks = stored(rows.mapInPandas(_packed, "chunk long, ids array<long>, sizes array<int>, bytes long, texts binary"), "chunks")
+    most = chunks.select(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, n: a + n))).first()[0] or 0
+    bits = min(max(4, int(most // BUCKET).bit_length()), 24)
+    # only ids move to find the target's documents; the places of a chunk's are one row
+    places = chunks.select("chunk", F.posexplode("ids").alias("place", "id")).join(ids.hint("merge"), F.col("id") == F.col("target_id"), "left_semi")
+    wanted = stored(places.groupBy("chunk").agg(F.collect_list("place").alias("wanted")), "wanted")
+
+    def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for row in frame.itertuples(index=False):
+                one, two, doc = _tokens(_texts(row))
+                target = np.zeros(len(row.sizes), bool)
+                if row.wanted is not None:
+                    target[np.asarray(row.wanted, int)] = True
+                begins = one == _START >> np.uint64(64 - BITS)
+                for order, value, own in ((0, one, slice(None)), (1, two, ~begins)):
+                    value, chosen = value[own], target[doc][own]
+                    gram, n = _counted(value)
+                    t = np.zeros(len(gram), np.uint32)
+                    some, number = _counted(value[chosen])
+                    t[np.searchsorted(gram, some)] = number
+                    cut = np.searchsorted(gram >> np.uint64(BITS - bits), np.arange((1 << bits) + 1))
+                    rest, n = gram & np.uint64((1 << BITS - bits) - 1), n.astype(np.uint32)
+                    parts = list(zip(cut[:-1].tolist(), cut[1:].tolist()))
+                    for first in range(0, len(parts), 64):
+                        some_parts = parts[first : first + 64]
+                        yield pd.DataFrame({"bucket": order * (1 << bits) + first + np.arange(len(some_parts)), "chunk": row.chunk, "grams": [_planes(rest[a:b]) for a, b in some_parts], "n": [_planes(n[a:b]) for a, b in some_parts], "t": [_planes(t[a:b]) for a, b in some_parts]})
+
+    def answer(frame: pd.DataFrame) -> pd.DataFrame:
+        grams = [_numbers(x, np.uint64) for x in frame["grams"]]
+        size = np.cumsum([0, *map(len, grams)])
+        distinct, place = np.unique(np.concatenate(grams), return_inverse=True)
+        sums = {k: np.bincount(place, np.concatenate([_numbers(x, np.uint32) for x in frame[k]]), len(distinct)).astype(np.int64) for k in "nt"}
+        out = {"bucket": frame["bucket"], "chunk": frame["chunk"], "distinct": len(distinct), "all_n": int(sums["n"].sum()), "all_t": int(sums["t"].sum())}
+        return pd.DataFrame(out | {k: [_planes(sums[k][place[a:b]]) for a, b in zip(size, size[1:])] for k in "nt"})
+
+    def judge(packed: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        row, answers = next(packed.itertuples(index=False)), answers.sort_values("bucket")
+        one, two, doc = _tokens(_texts(row))
+        begins = one == _START >> np.uint64(64 - BITS)
+        parts, bits_of = [answers[answers["bucket"] < 1 << bits], answers[answers["bucket"] >= 1 << bits]], np.zeros((2, len(row.sizes)))
+        places = [np.searchsorted(np.unique(value), value) for value in (one, two[~begins])]
+        own = np.flatnonzero(~begins)
+        before = places[0][own - 1]
+        for k, kind in enumerate("tn"):
+            uni, bi = (np.concatenate([_numbers(x, np.int64) for x in p[kind]]).astype(float) for p in parts)
+            total = parts[1][f"all_{kind}"].sum()  # a bigram for each token that is no start
+            vocabulary = max(int(parts[0]["distinct"].sum()) - 1, 1)
+            if len(own):
+                context = uni[before]
+                a, b, c = WORD_MIXTURE
+                share = np.divide(bi[places[1]], context, out=np.full(len(own), 1 / vocabulary), where=context > 0)
+                chance = a * share + b * uni[places[0][own]] / max(total, 1) + c / vocabulary
+                bits_of[k] = np.bincount(doc[own], -np.log2(chance), len(row.sizes))
+        n = np.array(row.sizes)
+        target, corpus = bits_of / np.maximum(n, 1)
+        return pd.DataFrame({"id": pd.array([None if pd.isna(i) else int(i) for i in row.ids], "Int64"), "n_tokens": n, "target_loss": target, "corpus_loss": corpus, "score": target - corpus})
+
+    asked = chunks.join(wanted, "chunk", "left").mapInPandas(ask, "bucket int, chunk long, grams binary, n binary, t binary")
+    answers = asked.groupBy("bucket").applyInPandas(answer, "bucket int, chunk long, distinct long, all_n long, all_t long, n binary, t binary")
+    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(judge, "id long, n_tokens long, target_loss double, corpus_loss double, score double")

@@ -4,7 +4,7 @@ import hashlib
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -264,6 +264,37 @@ def test_lm_losses_against_brute_force():
     assert first.tolist() == [0, 4, 6, 10]
 
 
+def test_lm_score_tells_rare_scripts_apart(spark):
+    """More characters than any cap, most of them rare: what the target says of a script counts, word by word and sign by sign."""
+    rng = random.Random(8)
+    common = ["".join(chr(0x100 + i) for i in rng.sample(range(200), 5)) for _ in range(400)]
+    rows = [(i, " ".join(rng.choices(common, k=80)), "x", "a") for i in range(60)]
+    ideographs, greek = [chr(0x4E00 + i) for i in range(40)], ["".join(rng.choices("αβγδεζηθ", k=5)) for _ in range(20)]
+    rows += [(100 + i, "".join(rng.choices(ideographs[:20], k=30)), "x", "a") for i in range(4)] + [(110 + i, "".join(rng.choices(ideographs[20:], k=30)), "x", "a") for i in range(4)]
+    rows += [(120 + i, " ".join(rng.choices(greek[:10], k=30)), "x", "a") for i in range(4)] + [(130 + i, " ".join(rng.choices(greek[10:], k=30)), "x", "a") for i in range(4)]
+    target = spark.createDataFrame([(100,), (101,), (120,), (121,)], "doc_id long")
+    score = {r.id: r.score for r in lm_score.cross_entropy_difference(table(spark, rows), target).collect()}
+    assert max(score[102], score[103]) + 0.5 < min(score[110 + i] for i in range(4))
+    assert max(score[122], score[123]) + 0.5 < min(score[130 + i] for i in range(4))
+
+
+def test_word_losses_against_brute_force(spark):
+    texts, target = ["a b  a", "b, b a", None, "漢漢 é1\na", " ", "a b  a"], {0, 3}
+    docs = table(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])
+    found = {r.id: r for r in lm_score.cross_entropy_difference(docs, spark.createDataFrame([(i,) for i in target], "doc_id long")).collect()}
+    split = lambda t: ["<", *re.findall(r"[^\W漢]+|(?<= ) |[^\w ]|漢", t), ">"] if t else []
+    words = [split(t) for t in texts]
+    vocabulary = len({w for s in words for w in s[1:]})
+    for name, chosen in (("target_loss", target), ("corpus_loss", set(range(len(texts))))):
+        one = Counter(w for i in chosen for w in words[i])
+        two = Counter(p for i in chosen for p in zip(words[i], words[i][1:]))
+        total = sum(two.values())
+        a, b, c = lm_score.WORD_MIXTURE
+        for i, s in enumerate(words):
+            bits = -sum(np.log2(a * (two[v, w] / one[v] if one[v] else 1 / vocabulary) + b * one[w] / total + c / vocabulary) for v, w in zip(s, s[1:]))
+            assert found[i][name] == pytest.approx(bits / max(len(texts[i] or ""), 1))
+
+
 def test_classifiers_on_edge_rows(spark, base):
     docs = table(spark, base)
     labels = spark.createDataFrame([(1, 1, 0), (6, 0, 1), (8, 1, None), (None, 1, 1), (12, None, 0), (8, 1, 0)], "doc_id long, quality int, toxic int")
