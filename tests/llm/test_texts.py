@@ -311,6 +311,17 @@ def test_classifiers_on_edge_rows(spark, base):
         assert len(q) == len(t) == len(base) and all(0 <= r.s <= 1 for r in q) and all(0 <= r.t.score <= 1 for r in t)
 
 
+def test_unknown_languages_are_rejected(spark):
+    rng = random.Random(3)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.learn(docs)
+    odd = ["".join(rng.choices("абвгдежзиклмнопрстуфхцчшщ", k=6)) for _ in range(60)], ["".join(rng.choices("bcdfghjklmnpqrstvwxzaeiouy", k=7)) for _ in range(60)], list("漢字語文書読話聞見行来食飲" * 5)
+    texts = spark.createDataFrame([(i, " ".join(rng.choices(words, k=60))) for i, words in enumerate(odd)], "doc_id long, text string")
+    assert [r.a for r in texts.select(langid.predict(texts, model, texts["text"])["accepted"].alias("a")).collect()] == [False] * 3
+    named = docs.select(langid.predict(docs, model, docs["text"])["accepted"].alias("a"))
+    assert named.where("NOT a").count() < 0.005 * docs.count()
+
+
 def test_automaton_against_edit_distance():
     def distance(a, b):
         row = list(range(len(b) + 1))
