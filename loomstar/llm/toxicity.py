@@ -25,7 +25,7 @@ SUPPORT, PRECISION = 4, 0.7
 #: Terms of different beginnings that the cover looks for in each toxic document.
 DEPTH = 3
 #: Edits that a term of so many characters may be off by.
-EDITS = ((9, 2), (5, 1))
+EDITS = ((9, 2), (4, 1))
 #: Words on either side of a term that are its context, and what is left of a term's weight when it is quoted or reported on.
 CONTEXT, QUOTED, REPORTED = 12, 0.35, 0.6
 # Quotation marks, and words that report what others say.
@@ -43,27 +43,28 @@ class Automaton:
     """All Levenshtein automata of a lexicon at once, run along its trie.
 
     A state is a set of (trie node, edits so far). Sets are made when they are first reached and kept, so a word costs one
-    look-up per letter, and most words end in the empty set after a few. A stem (``word*``) accepts any ending.
+    look-up per letter, and most words end in the empty set after a few. A stem (``word*``) accepts any ending after what
+    is within its edits. Terms that are not ``fuzzy`` (None: all are) must be spelled right.
     """
 
-    def __init__(self, terms: list[str]):
+    def __init__(self, terms: list[str], fuzzy: set[str] | None = None):
         self.children: list[dict[str, int]] = [{}]
-        self.ends: list[tuple[int, str, bool] | None] = [None]
+        self.ends: list[list[tuple[int, str, bool]]] = [[]]  # a word and a stem may end alike
         self.reach = [0]  # most edits that any term below allows
         for term in terms:
             stem = term.endswith("*")
             body = term.rstrip("*")
-            edits, node = 0 if stem else allowed(len(body)), 0
+            edits, node = allowed(len(body)) if fuzzy is None or term in fuzzy else 0, 0
             self.reach[0] = max(self.reach[0], edits)
             for letter in body:
                 if letter not in self.children[node]:
                     self.children[node][letter] = len(self.children)
                     self.children.append({})
-                    self.ends.append(None)
+                    self.ends.append([])
                     self.reach.append(0)
                 node = self.children[node][letter]
                 self.reach[node] = max(self.reach[node], edits)
-            self.ends[node] = (edits, term, stem)
+            self.ends[node].append((edits, term, stem))
         self.sets: dict[frozenset, int] = {}
         self.members: list[frozenset] = []
         self.steps: list[dict[str, int]] = []
@@ -85,7 +86,7 @@ class Automaton:
             self.sets[key] = len(self.members)
             self.members.append(key)
             self.steps.append({})
-            hits = sorted((edits, end[1], end[2]) for node, edits in key if (end := self.ends[node]) and edits <= end[0])
+            hits = sorted((edits, term, stem) for node, edits in key for most, term, stem in self.ends[node] if edits <= most)
             self.words.append(next(((e, t) for e, t, _ in hits), None))
             self.stems.append(next(((e, t) for e, t, stem in hits if stem), None))
         return self.sets[key]
@@ -121,7 +122,8 @@ class Model:
     prior: float = 0.02
 
     def __post_init__(self):
-        self.automaton, self.known = Automaton(sorted(self.terms)), {}
+        # a term with many harmless neighbours does not hide others that are further off
+        self.automaton, self.known = Automaton(sorted(self.terms), {t for t, w in self.misspelled.items() if w}), {}
 
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k not in ("automaton", "known")}
@@ -137,7 +139,7 @@ class Model:
             if len(self.known) > 300_000:
                 self.known.clear()
             hit = self.automaton.match(word)
-            found = 0.0 if hit is None else self.terms[hit[1]] if not hit[0] else self.seen.get(word, self.misspelled.get(hit[1], 0.0) / hit[0])
+            found = self.terms[hit[1]] if hit and not hit[0] else self.seen.get(word, self.misspelled.get(hit[1], 0.0) / hit[0] if hit else 0.0)
             self.known[word] = found
         return found
 
@@ -164,11 +166,11 @@ class Model:
 
 
 def _features(text: Column) -> Column:
-    """Distinct words of four letters or more and their beginnings of 4 to 8 letters (marked ``*``)."""
+    """Distinct words and their beginnings of 4 to 8 letters (marked ``*``)."""
     words = F.array_distinct(F.split(F.lower(F.coalesce(text, F.lit(""))), "[^\\p{L}\\p{N}]+"))
-    long = F.filter(words, lambda w: F.length(w).between(4, 40))
-    stems = F.transform(long, lambda w: F.when(F.length(w) > 4, F.transform(F.sequence(F.lit(4), F.least(F.lit(8), F.length(w) - 1)), lambda k: F.concat(F.substring(w, F.lit(1), k), F.lit("*")))).otherwise(F.array().cast("array<string>")))
-    return F.array_distinct(F.concat(long, F.flatten(stems)))
+    whole = F.filter(words, lambda w: F.length(w) > 0)
+    stems = F.transform(whole, lambda w: F.when(F.length(w) > 4, F.transform(F.sequence(F.lit(4), F.least(F.lit(8), F.length(w) - 1)), lambda k: F.concat(F.substring(w, F.lit(1), k), F.lit("*")))).otherwise(F.array().cast("array<string>")))
+    return F.array_distinct(F.concat(whole, F.flatten(stems)))
 
 
 def _holds(low: str, terms: set[str]) -> list[str]:

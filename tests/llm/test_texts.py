@@ -345,6 +345,22 @@ def test_automaton_against_edit_distance():
         assert machine.match(word) == min(near, default=None), word
 
 
+def test_misspelled_stems_and_short_terms(spark):
+    machine = toxicity.Automaton(["idio*", "scum", "worthless*"])
+    assert [machine.match(w) for w in ("idjot", "1diots", "scvm", "idiots", "w0rthlesly", "idle", "scan")] == [(1, "idio*"), (1, "idio*"), (1, "scum"), (0, "idio*"), (2, "worthless*"), None, None]
+    rng = random.Random(6)
+    words = ["".join(rng.choices("bcdfghlmnprtv", k=7)) for _ in range(300)]
+    terms = ["idiot", "idiots", "scum", "zog"]
+    texts = [(i, " ".join([*rng.choices(words, k=20), *([terms[i // 4 % 4]] if i % 2 else [])]), "en", "a") for i in range(400)]
+    odd = ["idjot", "1diots", "scvm", "zog", "fine"]
+    docs = table(spark, texts + [(1000 + i, f"you {w} there", "en", "a") for i, w in enumerate(odd)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
+    model = toxicity.learn(docs, labels)
+    assert any(t.startswith("idio") and t.endswith("*") for t in model.terms)
+    found = {r.doc_id: r.s for r in docs.where("doc_id >= 1000").select("doc_id", toxicity.score(docs, model, docs["text"])["score"].alias("s")).collect()}
+    assert [found[1000 + i] >= 0.3 for i in range(5)] == [True] * 4 + [False]
+
+
 def test_quotation_weighs_less():
     model = toxicity.Model({"idiot": 0.99}, {"idiot": 0.45})
     abuse, quoted = model.score("you are an idiot")[0], model.score('he said "what an idiot" and left')[0]
