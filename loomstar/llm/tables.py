@@ -23,6 +23,22 @@ def sized(df: DataFrame, most_rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= most_rows else df
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """``wanted`` names as they can be added to ``df``: a name that is taken, in any case, gets underscores in front until it is free."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def column(name: str) -> Column:
+    """The column of this very name, whatever signs it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 _shipped: set[str] = set()
 
 

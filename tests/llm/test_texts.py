@@ -224,11 +224,28 @@ def test_line_dedup(spark, rows):
     pages += [(40, None, None, None), (41, "", "en", "hot"), (42, "menu", "en", None)]
     got = line_dedup.drop_boilerplate(table(spark, pages), F.col("source"))
     found = {r.doc_id: (r._kept, r._lines, r._dropped) for r in got.collect()}
-    assert found[3] == ("\n  text 3 ", 4, 2) and found[25] == ("menu\nonly 25", 2, 0)
+    assert found[3] == ("\n  text 3 ", 4, 2) and found[25] == ("only 25", 2, 1)
     assert found[40] == ("", 1, 0) and found[41] == ("", 1, 0) and found[42] == ("menu", 1, 0)
     assert line_dedup.drop_boilerplate(table(spark, []), F.col("source")).count() == 0
 
 
+def test_lines_are_held_against_their_own_host(spark, plan):
+    pages = [(i, f"only {i}" + ("\nfooter" if i < 40 else "\nmenu"), "en", "large") for i in range(1000)]
+    pages += [(1000 + i, f"text {i}\nmenu\nfooter", "en", "small") for i in range(10)] + [(2000 + i, f"page {i}\nend", "en", "pair") for i in range(2)] + [(3000, "alone", "en", "one")]
+    got = line_dedup.drop_boilerplate(table(spark, pages), F.col("source"))
+    assert "NestedLoop" not in plan(got) and "Cartesian" not in plan(line_dedup.boilerplate(table(spark, pages), F.col("source"), F.col("text")))
+    found = {r.doc_id: r._kept for r in got.collect()}
+    assert found[3] == "only 3\nfooter" and found[500] == "only 500" and found[1003] == "text 3" and found[2001] == "page 1" and found[3000] == "alone"
+
+
+def test_line_dedup_among_clashing_names(spark):
+    names = ["_kept", "_lines", "_dropped", "_site", "_bad_site", "_bad_lines", "_left", "host", "lines", "pages", "h1", "a.b"]
+    docs = spark.createDataFrame([(i, "menu\nt%d" % i, "s", *names) for i in range(3)], ["doc_id", "text", "source", *names])
+    got = line_dedup.drop_boilerplate(docs, F.col("source"))
+    assert got.columns == docs.columns + ["__kept", "__lines", "__dropped"]
+    assert sorted((r.__getitem__("_kept"), r["__kept"], r["a.b"]) for r in got.collect()) == [("_kept", f"t{i}", "a.b") for i in range(3)]
+
+
 def test_lm_score(spark, base):
     docs = table(spark, base)
     good = spark.createDataFrame([(6,), (7,), (None,), (6,)], "doc_id long")
