@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from loomstar.llm import decontaminate, exact_dedup, langid, line_dedup, lm_score, near_dup, packing, quality, secret_scan, toxicity
+from loomstar.llm import decontaminate, exact_dedup, langid, line_dedup, lm_score, near_dup, packing, periodic, quality, secret_scan, toxicity
 from loomstar.llm.tables import held_out
 from loomstar.session import tune
 
@@ -157,4 +157,33 @@ def op10(read):
     return found.select("doc_id", F.col("h.n_words").alias("n_words"), F.col("h.n_hit").alias("n_hit"), F.size("h.items").cast("long").alias("n_items"), F.sha2(_joined(F.array_sort("h.items")).cast("binary"), 256).alias("items_sha256"), (F.col("h.n_hit") > 0).alias("contaminated"))
 
 
+def planted(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where one id in ten by its checksum repeats its words from a place on with a period (fixed by the contract of op12)."""
+    mark = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    told = docs.select("doc_id", "text", mark.alias("h"), F.when(mark % 10 == 0, words).alias("w"))
+    n, g = F.size("w").cast("long"), F.expr("h div 10")
+    period = 1 + F.expr("(n - a) div (3 + g % 8)")
+    rest = F.transform(F.sequence(F.col("a"), F.col("n") - 1), lambda i: F.get(F.col("w"), (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")))
+    changed = F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a").cast("int")), rest), " ")
+    return told.select("doc_id", "text", "w", n.alias("n"), g.alias("g")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n"))).withColumn("p", period).select("doc_id", F.when(F.col("n") > 0, changed).otherwise(F.col("text")).alias("text"))
+
+
+@_query("op12_periodic_runs")
+def op12(read):
+    docs = planted(read("documents"))
+    found = docs.select("doc_id", periodic.periodic_runs(docs, docs["text"]).alias("r")).select("doc_id", "r.runs", "r.collapsed")
+
+    def before(a: Column, b: Column) -> Column:
+        """Greater length / period first (as whole numbers), then the earlier start, then the smaller period."""
+        x, y = a["length"] * b["period"], b["length"] * a["period"]
+        later = F.when(a["start"] != b["start"], F.signum(a["start"] - b["start"])).otherwise(F.signum(a["period"] - b["period"]))
+        return F.when(x != y, F.signum(y - x)).otherwise(later).cast("int")
+
+    best = F.reduce("runs", F.get("runs", F.lit(0)), lambda top, r: F.when(before(r, top) < 0, r).otherwise(top))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n"))), "")
+    top = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("b"), F.sha2(listed.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+    return top.select("doc_id", "n_runs", "b.start", "b.length", "b.period", F.expr("1000 * b.length div b.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
