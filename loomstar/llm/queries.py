@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from loomstar.llm import decontaminate, exact_dedup, langid, line_dedup, lm_score, near_dup, packing, periodic, quality, secret_scan, toxicity
+from loomstar.llm import decontaminate, exact_dedup, langid, line_dedup, lm_score, main_text, near_dup, packing, periodic, quality, secret_scan, toxicity
 from loomstar.llm.tables import held_out
 from loomstar.session import tune
 
@@ -186,4 +186,11 @@ def op12(read):
     return top.select("doc_id", "n_runs", "b.start", "b.length", "b.period", F.expr("1000 * b.length div b.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
 
 
+@_query("op13_main_text")
+def op13(read):
+    pages = read("pages")
+    found = pages.select("page_id", "url", main_text.extract(pages, pages["html"]).alias("t"))
+    return found.select("page_id", "url", "t.text", F.length("t.text").cast("long").alias("n_chars"), "t.n_blocks", "t.n_kept")
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
