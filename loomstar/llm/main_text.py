@@ -99,7 +99,7 @@ def _lean(block: Block, page: Page, evidence: int) -> int:
         lean -= 500
     elif tag in ("p", "blockquote", "pre"):
         lean += 500
-    if PHRASES.search(text.lower()) and words < 60:
+    if words < 60 and PHRASES.search(text.lower()):
         lean -= PHRASE
     return lean
 

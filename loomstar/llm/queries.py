@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from loomstar.llm import decontaminate, exact_dedup, langid, line_dedup, lm_score, main_text, near_dup, packing, periodic, quality, secret_scan, toxicity
+from loomstar.llm import collocations, decontaminate, exact_dedup, langid, line_dedup, lm_score, main_text, near_dup, packing, periodic, quality, secret_scan, toxicity
 from loomstar.llm.tables import held_out
 from loomstar.session import tune
 
@@ -157,6 +157,27 @@ def op10(read):
     return found.select("doc_id", F.col("h.n_words").alias("n_words"), F.col("h.n_hit").alias("n_hit"), F.size("h.items").cast("long").alias("n_items"), F.sha2(_joined(F.array_sort("h.items")).cast("binary"), 256).alias("items_sha256"), (F.col("h.n_hit") > 0).alias("contaminated"))
 
 
+@_query("op11_collocations", rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOW}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+g AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase FROM w, range(1, 6) AS s(k), unnest(range(1, len(ws) - k + 2)) AS t(i)),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 100),
+total AS (SELECT lang, sum(len(ws))::HUGEINT AS n FROM w GROUP BY lang),
+c AS (SELECT * FROM f WHERE k > 1),
+alone AS (SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM c d WHERE d.lang = c.lang AND d.k > c.k AND d.f >= c.f AND contains(' ' || d.phrase || ' ', ' ' || c.phrase || ' '))),
+cut AS (SELECT *, array_to_string(string_split(phrase, ' ')[1:j], ' ') AS head, array_to_string(string_split(phrase, ' ')[j + 1:], ' ') AS rest FROM alone, unnest(range(1, k)) AS t(j)),
+scored AS (
+  SELECT cut.lang, cut.phrase, j, cut.f AS a, x.f AS l, y.f AS r, n, 1000::HUGEINT * cut.f * n // (x.f::HUGEINT * y.f) AS score
+  FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = head JOIN f y ON y.lang = cut.lang AND y.phrase = rest JOIN total ON total.lang = cut.lang),
+low AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM low)
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
+""")
+def op11(read):
+    found = collocations.best(collocations.collocations(read("documents")))
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 def planted(docs: DataFrame) -> DataFrame:
     """doc_id and text, where one id in ten by its checksum repeats its words from a place on with a period (fixed by the contract of op12)."""
     mark = F.crc32(F.col("doc_id").cast("string"))
