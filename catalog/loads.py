@@ -516,3 +516,57 @@ def _(t: Tables) -> DataFrame:
     for day in ("2024-01-02", "2024-01-03", "2024-01-04"):
         dim = stored(load.next_product(dim, load.extract(_daily_source(t), day), day), "dim_product")
     return dim
+
+
+# --- an older day again, carried through the later days by what changed ------------------------
+
+
+def _corrected_source(t: Tables) -> DataFrame:
+    """The source of the three days, in which the first day has lost every third product and another category for every fifth one."""
+    number, first = F.expr("cast(substr(product_id, 2) AS bigint)"), F.col("modified_date") == F.lit("2024-01-01").cast("date")
+    kept = _daily_source(t).where(~(first & (number % 3 == 0)))
+    return kept.withColumn("category", F.when(first & (number % 5 == 0), F.lit("moved")).otherwise(F.col("category")))
+
+
+def _backfilled(t: Tables) -> DailyReviews:
+    load = DailyReviews(Warehouse(t.spark, scratch_path(t.spark, "daily")), DAILY_ORDER)
+    load.replay(_daily_source(t), "2024-01-02", 3)
+    load.run_batch(_corrected_source(t), "2024-01-02")
+    return load
+
+
+CORRECTED_SQL = DAILY_SQL.replace(
+    "\nstaged AS (SELECT DISTINCT * EXCLUDE (modified_date),",
+    """
+corrected AS (SELECT * EXCLUDE (category), CASE WHEN modified_date < DATE '1998-01-01' AND CAST(substr(product_id, 2) AS BIGINT) % 5 = 0 THEN 'moved' ELSE category END AS category
+  FROM reviews WHERE NOT (modified_date < DATE '1998-01-01' AND CAST(substr(product_id, 2) AS BIGINT) % 3 = 0)),
+staged AS (SELECT DISTINCT * EXCLUDE (modified_date),""",
+).replace("AS created_date FROM reviews)", "AS created_date FROM corrected)")
+
+
+@query(
+    "daily_backfill_delta",
+    f"""WITH {CORRECTED_SQL},
+        last AS (SELECT * FROM pairs QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY created_date DESC,
+                 {', '.join(c + ' DESC' for c in DAILY_ORDER)}) = 1),
+        days AS (SELECT id AS product_id, min(created_date) AS first_day, max(created_date) AS last_day, max_by(n, created_date) AS last_n
+                 FROM members WHERE table_name = 'dim_product' GROUP BY id)
+        SELECT sha256('dim_product' || chr(1) || product_id) AS product_key, product_id, product_name, category, about_product, img_link,
+          product_link, rating, rating_count, first_day AS created_date,
+          CASE WHEN last_day > first_day OR last_n > 1 THEN last_day END AS last_updated_date
+        FROM last JOIN days USING (product_id)""",
+)
+def _(t: Tables) -> DataFrame:
+    """Three days, then the first one again from a corrected source: the product dimension as if loaded so from the start."""
+    return _backfilled(t).wh.snapshot("dim_product", target(STAR, "dim_product"))
+
+
+@query(
+    "daily_backfill_audit",
+    f"""WITH {CORRECTED_SQL} SELECT table_name, count(*) AS staging_count, count(*) FILTER (created_date = first_day AND n = 1) AS insert_count,
+          count(*) FILTER (created_date > first_day OR n > 1) AS update_count, 'PASS' AS status, created_date AS log_date
+        FROM members JOIN firsts USING (table_name, id) GROUP BY table_name, created_date
+        UNION ALL SELECT 'fact_price', count(DISTINCT product_id), count(DISTINCT product_id), 0, 'PASS', created_date FROM staged GROUP BY created_date""",
+)
+def _(t: Tables) -> DataFrame:
+    return _backfilled(t).audit_log().select(*AUDIT_COLUMNS)
