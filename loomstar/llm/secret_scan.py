@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from collections.abc import Iterable
+from itertools import accumulate
 from math import log2
 
 import pandas as pd
@@ -22,8 +24,16 @@ HEX = re.compile(r"[0-9a-f]+")
 LEAST_ASSIGNED, LEAST_ACCESS, LEAST_HEX = 6, 20, 24
 #: Weak candidates: identifiers of other kinds, bare keys, endpoints.
 WEAK_ID = re.compile(r"\b(?:ASIA|AROA|AIDA|AGPA|ANPA)[A-Z0-9]{12,}\b|\b(?:client|account|user|access)[_-]?id\x20*[:=]\x20*[\w.@-]{4,}", re.ASCII | re.IGNORECASE)
-WEAK_KEY = re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/_-]{32,88}={0,2}(?![A-Za-z0-9+/=_-])")
-WEAK_ENDPOINT = re.compile(r"\b[a-z][a-z0-9+.-]*://[^\s\"'<>]+|\b(?:[a-z0-9-]+\.)+(?:amazonaws|windows|googleapis|database|internal|local)(?:\.[a-z]{2,})*\b(?::\d+)?|\b\d{1,3}(?:\.\d{1,3}){3}:\d{2,5}\b", re.ASCII | re.IGNORECASE)
+# Runs are taken whole, from their first character on and without going back, so no text takes more than linear time.
+WEAK_KEY = re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/_-]{32,}+={0,2}+(?![A-Za-z0-9+/=_-])")
+WEAK_URL = re.compile(r"(?<![a-z0-9+.-])[a-z0-9+.-]++://[^\s\"'<>]++", re.ASCII | re.IGNORECASE)
+WEAK_ADDRESS = re.compile(r"\b\d{1,3}(?:\.\d{1,3}){3}:\d{2,5}\b", re.ASCII)
+#: Labels near the end of a host's name that tell a service's endpoint.
+SERVICE = re.compile(r"\.(?:amazonaws|windows|googleapis|database|internal|local)(?![a-z0-9-])", re.ASCII | re.IGNORECASE)
+_HOST = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789.-")
+_HOST_END = re.compile(r"(?:\.[a-z]{2,}+)*+(?![a-z0-9])", re.ASCII | re.IGNORECASE)
+_PORT = re.compile(r":\d+", re.ASCII)
+_FIRST_LETTER = re.compile(r"\b[a-z]", re.ASCII | re.IGNORECASE)
 #: Bits per character that a bare key must have, and how far apart parts of one credential may lie.
 ENTROPY, REACH = 3.5, 300
 SCOPE = re.compile(r"\n[ \t\r]*\n")
@@ -52,44 +62,91 @@ def entropy(text: str) -> float:
     return -sum(p * log2(p) for p in (text.count(c) / len(text) for c in set(text)))
 
 
+class Ends:
+    """Intervals by start, with the greatest end of all up to each: whether any meets a place is one search."""
+
+    def __init__(self, spans: Iterable[tuple[int, int]]):
+        ordered = sorted(spans)
+        self.starts = [a for a, _ in ordered]
+        self.most = list(accumulate((b for _, b in ordered), max))
+
+    def meet(self, first: int, last: int) -> bool:
+        """Whether an interval starts before ``last`` and ends after ``first``."""
+        at = bisect_left(self.starts, last)
+        return at > 0 and self.most[at - 1] > first
+
+
+def endpoints(text: str) -> list[Span]:
+    """URLs, hosts of known services with their ports, and numeric addresses with a port; what lies inside an earlier kind is left out."""
+    found = []
+    if "://" in text:
+        for m in WEAK_URL.finditer(text):
+            first = _FIRST_LETTER.search(text, m.start(), text.index("://", m.start()))
+            if first:
+                found.append((first.start(), m.end()))
+    for kind in (_hosts(text), ((m.start(), m.end()) for m in WEAK_ADDRESS.finditer(text)) if "." in text and ":" in text else ()):
+        taken = Ends(found)
+        found += [(a, b) for a, b in kind if not taken.meet(a, b)]
+    return [(a, b, "endpoint") for a, b in found]
+
+
+def _hosts(text: str) -> list[tuple[int, int]]:
+    """From the last service label of a run of host characters back to the run's start, and on over labels of letters and a port."""
+    out, begun, label = [], 0, None
+
+    def close() -> None:
+        if label is not None and label[0] > begun:
+            rest = _HOST_END.match(text, label[1])
+            stop = rest.end() if rest else label[1]
+            port = _PORT.match(text, stop)
+            out.append((begun, port.end() if port else stop))
+
+    done = 0  # what lies before is read
+    for m in SERVICE.finditer(text):
+        start = m.start()
+        while start > done and text[start - 1] in _HOST:
+            start -= 1
+        if start > done or label is None:
+            close()
+            begun = start
+            while begun < m.start() and text[begun] in ".-":
+                begun += 1
+        label, done = (m.start(), m.end()), m.end()
+    close()
+    return out
+
+
 def weak_candidates(text: str, base: list[Span]) -> list[Span]:
     """Candidates that do not overlap a base span or, being keys, an identifier or endpoint."""
-    found = [(m.start(), m.end(), "endpoint") for m in WEAK_ENDPOINT.finditer(text)] if "://" in text or "." in text and ":" in text or ".amazonaws" in text else []
+    found = endpoints(text)
     found += [(m.start(), m.end(), "id") for m in WEAK_ID.finditer(text)]
-    taken = sorted(base + found)
+    fixed, taken = Ends(s[:2] for s in base), Ends(s[:2] for s in base + found)
+    found = [s for s in found if not fixed.meet(s[0], s[1])]
     for m in WEAK_KEY.finditer(text):
-        if any(c.isdigit() for c in m[0]) and any(c.isalpha() for c in m[0]) and entropy(m[0]) >= ENTROPY:
-            if not _overlaps(taken, m.start(), m.end()):
-                found.append((m.start(), m.end(), "key"))
-    fixed = sorted(base)
-    return [s for s in found if s[2] == "key" or not _overlaps(fixed, s[0], s[1])]
+        if not taken.meet(m.start(), m.end()) and any(c.isdigit() for c in m[0]) and any(c.isalpha() for c in m[0]) and entropy(m[0]) >= ENTROPY:
+            found.append((m.start(), m.end(), "key"))
+    return found
 
 
-def _overlaps(spans: list[Span], start: int, end: int) -> bool:
-    at = bisect_left(spans, (end,))
-    return any(s[1] > start for s in spans[max(0, at - 4) : at])
+#: What a part needs beside it.
+NEEDS = {"identifier": ("secret",), "secret": ("identifier",), "endpoint": ("identifier", "secret")}
 
 
 def linked(text: str, base: list[Span], weak: list[Span], reach: int = REACH) -> list[Span]:
     """Weak candidates with a complementary part in their scope and reach: an identifier or key needs the other, an endpoint either.
 
-    A merge of intervals sorted by start: for each candidate only the nearest part of a kind before and after it matters.
+    A join of intervals: of a scope's parts of one kind that start early enough, the one that ends last is near enough or none is.
     """
     cuts = [m.start() for m in SCOPE.finditer(text)]
     by_part: dict[tuple[int, str], list[tuple[int, int]]] = {}
-    for start, end, kind in sorted(base + weak):
+    for start, end, kind in base + weak:
         by_part.setdefault((bisect_left(cuts, start), PART[kind]), []).append((start, end))
-    out = []
-    for start, end, kind in weak:
-        scope = bisect_left(cuts, start)
-        needs = {"identifier": ("secret",), "secret": ("identifier",), "endpoint": ("identifier", "secret")}[PART[kind]]
-        for need in needs:
-            others = by_part.get((scope, need), ())
-            at = bisect_left(others, (start,))
-            if any(max(o[0] - end, start - o[1]) <= reach for o in others[max(0, at - 1) : at + 1]):
-                out.append((start, end, kind))
-                break
-    return out
+    ends = {part: Ends(spans) for part, spans in by_part.items()}
+
+    def near(scope: int, need: str, start: int, end: int) -> bool:
+        return (scope, need) in ends and ends[scope, need].meet(start - reach - 1, end + reach + 1)
+
+    return [s for s in weak if any(near(bisect_left(cuts, s[0]), need, s[0], s[1]) for need in NEEDS[PART[s[2]]])]
 
 
 def scan(text) -> tuple[list[Span], list[Span]]:
@@ -104,7 +161,8 @@ def scan(text) -> tuple[list[Span], list[Span]]:
 def find_secrets(docs: DataFrame, text: Column) -> Column:
     """An array of (kind, start, stop, base) for each row, by start, then kind; positions are code points, end exclusive.
 
-    A null or empty text has none. Texts of any length are scanned whole.
+    A null or empty text has none. Texts of any length are scanned whole, in linear time. Repeated rows get equal results, an
+    empty table gives no rows, spans of one start are listed by kind, and no other column is read.
     """
     prepare(docs.sparkSession)
 
