@@ -12,7 +12,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
 from loomstar.llm.fm_index import FMIndex
-from loomstar.llm.tables import prepare
+from loomstar.llm.tables import column, free_names, prepare
 from loomstar.llm.wordbytes import ALNUM, Batch, batch_words, groups
 
 WINDOW = 10
@@ -166,11 +166,11 @@ def remove_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text",
     A document of which nothing but white space is left is dropped, if it had a passage; all others stay. ``n_chars`` (if
     there is such a column) is counted anew where the text changed.
     """
-    found = docs.withColumn("_found", benchmark_hits(docs, benchmark, docs[text], item_id, item_text, window))
-    hit = F.col("_found.n_hit") > 0
-    rest = F.col("_found.cleaned")
+    (name,) = free_names(docs, "_found")
+    found = docs.withColumn(name, benchmark_hits(docs, benchmark, column(text), item_id, item_text, window))
+    hit, rest = F.col(name)["n_hit"] > 0, F.col(name)["cleaned"]
     kept = found.where(~hit | (F.trim(F.regexp_replace(rest, "\\s+", " ")) != ""))
-    changed = {text: F.when(hit, rest).otherwise(F.col(f"`{text}`"))}
+    changed = {text: F.when(hit, rest).otherwise(column(text))}
     if n_chars and n_chars in docs.columns:
-        changed[n_chars] = F.when(hit, F.length(rest)).otherwise(F.col(f"`{n_chars}`")).cast(docs.schema[n_chars].dataType)
-    return kept.withColumns(changed).select(*docs.columns)
+        changed[n_chars] = F.when(hit, F.length(rest)).otherwise(column(n_chars)).cast(docs.schema[n_chars].dataType)
+    return kept.select(*[changed[c].alias(c) if c in changed else column(c) for c in docs.columns])

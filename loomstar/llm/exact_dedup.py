@@ -11,7 +11,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from loomstar.llm.tables import sized
+from loomstar.llm.tables import column, located, sized
 from loomstar.session import scratch_path, stored
 
 _STATE = "spark.sql.streaming.stateStore"
@@ -48,22 +48,8 @@ def _settings(spark: SparkSession, wanted: dict[str, str]):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def located(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_file`` and ``_at``, which say where each row's content lies.
-
-    Rows of a file scan are found by file and row number. Other inputs are stored first.
-    """
-    try:
-        where = docs.metadataColumn("_metadata")
-        return docs.withColumns({"_file": where["file_path"], "_at": where["row_index"]})
-    except Exception as error:  # noqa: BLE001  (no such column: not a scan)
-        if "_metadata" not in str(error) and "UNRESOLVED" not in str(error):
-            raise
-        return located(stored(docs, "documents"))
-
-
-def arrivals(located_docs: DataFrame, doc_id: str, text: str, digest=sha256) -> DataFrame:
-    return located_docs.select(F.col(doc_id).cast("long").alias("id"), digest(normalised(F.col(text))).alias("digest"), F.col("_file").alias("file"), F.col("_at").alias("at"))
+def arrivals(placed: DataFrame, file: str, at: str, doc_id: str, text: str, digest=sha256) -> DataFrame:
+    return placed.select(column(doc_id).cast("long").alias("id"), digest(normalised(column(text))).alias("digest"), column(file).alias("file"), column(at).alias("at"))
 
 
 def keyed_state(stream: DataFrame) -> DataFrame:
@@ -102,13 +88,13 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", dig
     without id only if no other has one, and of rows with one id the first by place. Exactly one row of each text is kept.
     An empty table gives no rows. Other columns do not matter.
     """
-    return _decided(located(docs), doc_id, text, digest, files_per_batch)
+    return _decided(*located(docs), doc_id, text, digest, files_per_batch)
 
 
-def _decided(placed: DataFrame, doc_id: str, text: str, digest=sha256, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+def _decided(placed: DataFrame, file: str, at: str, doc_id: str, text: str, digest=sha256, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
     spark = placed.sparkSession
     folder = scratch_path(spark, "arrivals")
-    came = arrivals(placed, doc_id, text, digest)
+    came = arrivals(placed, file, at, doc_id, text, digest)
     came.write.parquet(folder)
     rows = spark.read.schema(came.schema).parquet(folder)
     if rows.isEmpty():
@@ -117,7 +103,7 @@ def _decided(placed: DataFrame, doc_id: str, text: str, digest=sha256, files_per
 
     # full bytes on hits: a digest that came once needs none
     repeated = stored(state.where("rows > 1").select("digest"), "repeated")
-    bodies = placed.select(F.col("_file").alias("file"), F.col("_at").alias("at"), F.col(doc_id).cast("long").alias("id"), normalised(F.col(text)).alias("body"))
+    bodies = placed.select(column(file).alias("file"), column(at).alias("at"), column(doc_id).cast("long").alias("id"), normalised(column(text)).alias("body"))
     hits = bodies.withColumn("digest", digest(F.col("body"))).join(sized(repeated), "digest", "left_semi")
     differing = stored(
         hits.groupBy("digest").agg(F.min("body").alias("least"), F.max("body").alias("most")).where("least != most").select("digest"), "differing"
@@ -142,8 +128,13 @@ def _by_bytes(hits: DataFrame) -> DataFrame:
 
 
 def drop_exact_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the copies; all columns as they were."""
-    placed = located(docs)
-    found = _decided(placed, doc_id, text)
-    gone = stored(found.where("NOT kept").select("_file", "_at"), "copies")
-    return placed.join(sized(gone, 100_000), ["_file", "_at"], "left_anti").select(*[placed[c] for c in docs.columns])
+    """``docs`` without the copies; all columns as they were, whatever their names.
+
+    One row of each text stays, as ``exact_dedup`` decides, row by row: rows may share an id or have none. White space runs count
+    as one space and a null text is empty, so of all null, empty and equal texts one row each stays. Texts of any length are
+    compared whole. An empty table gives no rows. Any source will do (see ``tables.located``).
+    """
+    placed, file, at = located(docs)
+    found = _decided(placed, file, at, doc_id, text)
+    gone = stored(found.where("NOT kept").select(F.col("_file").alias(file), F.col("_at").alias(at)), "copies")
+    return placed.join(sized(gone, 100_000), [file, at], "left_anti").select(*[column(c) for c in docs.columns])

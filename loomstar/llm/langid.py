@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from loomstar.llm.grams import word_grams
-from loomstar.llm.tables import BATCH_ROWS, fraction_of, held_out, prepare, taken
+from loomstar.llm.tables import BATCH_ROWS, column, fraction_of, free_names, held_out, prepare, taken
 from loomstar.session import stored
 
 SIZES, BUCKETS, WIDTH = (1, 2, 3), 4096, 16
@@ -193,7 +193,12 @@ def predict(docs: DataFrame, model: Model | None, text: Column) -> Column:
 
 
 def keep_known(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """``docs`` whose language is told with confidence, with ``lang`` filled in where it was null; columns as they were."""
-    named = docs.withColumn("_named", predict(docs, learn(docs, doc_id, text, lang), docs[text]))
-    kept = named.where("_named.accepted")
-    return kept.withColumn(lang, F.coalesce(F.col(f"`{lang}`"), F.col("_named.lang"))).select(*docs.columns)
+    """``docs`` whose language is told with confidence, with ``lang`` filled in where it was null; columns as they were, whatever their names.
+
+    Null, empty and letterless texts go, as ``predict`` rejects them; without any labelled row nothing is rejected. Equal texts
+    fare alike, so repeated rows all stay or all go. Texts of any length count whole. An empty table gives no rows.
+    """
+    (named,) = free_names(docs, "_named")
+    told = docs.withColumn(named, predict(docs, learn(docs, doc_id, text, lang), column(text)))
+    filled = F.coalesce(column(lang), F.col(named)["lang"]).alias(lang)
+    return told.where(F.col(named)["accepted"]).select(*[filled if c == lang else column(c) for c in docs.columns])

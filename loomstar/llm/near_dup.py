@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from loomstar.llm.tables import in_batches, prepare, sized
+from loomstar.llm.tables import column, in_batches, located, prepare, sized
 from loomstar.llm.wordbytes import SPACED, batch_words, groups, mixed, shingle_hashes
 from loomstar.session import stored
 
@@ -65,19 +65,21 @@ def _half_keys(value: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def signatures(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
-    """id, n (distinct shingles), h1 and h2 (name of the set), left and right (half-keys)."""
+def signatures(docs: DataFrame, doc_id: str, text: str, size: int, place: tuple[str, str] | None = None) -> DataFrame:
+    """id, n (distinct shingles), h1 and h2 (name of the set), left and right (half-keys); with ``place`` the row's file and number as well."""
+    own = {"file": "string", "at": "long"} if place else {}
 
     def sign(frame: pd.DataFrame) -> pd.DataFrame:
         parts = []
         for first, count, value, bounds in shingle_sets(frame["text"].tolist(), size):
             (h1, h2), keys = _set_names(value, bounds), _half_keys(value, bounds)
-            parts.append(pd.DataFrame({"id": frame["id"].iloc[first : first + count].array, "n": np.diff(bounds), "h1": h1, "h2": h2, "left": list(keys[:, :SIDE]), "right": list(keys[:, SIDE:])}))
+            kept = {c: frame[c].iloc[first : first + count].array for c in ("id", *own)}
+            parts.append(pd.DataFrame(kept | {"n": np.diff(bounds), "h1": h1, "h2": h2, "left": list(keys[:, :SIDE]), "right": list(keys[:, SIDE:])}))
         return pd.concat(parts)
 
-    read = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     # a null id passes through Python as text, which keeps large numbers exact
-    made = read.select(F.col("id").cast("string").alias("id"), "text").mapInPandas(in_batches(sign), "id string, n long, h1 long, h2 long, left array<long>, right array<long>")
+    read = docs.select(column(doc_id).cast("long").cast("string").alias("id"), *[column(c).alias(n) for c, n in zip(place or (), own)], column(text).alias("text"))
+    made = read.mapInPandas(in_batches(sign), "".join(["id string, ", *(f"{n} {t}, " for n, t in own.items()), "n long, h1 long, h2 long, left array<long>, right array<long>"]))
     return made.withColumn("id", F.col("id").cast("long"))
 
 
@@ -99,7 +101,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, size: int)
             parts.append(pd.DataFrame({"h1": h1, "h2": h2, "items": raw}))
         return pd.concat(parts)
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
+    rows = docs.select(column(doc_id).cast("long").alias("id"), column(text).alias("text"))
     ids = wanted.select(F.col("id").alias("wanted_id")).distinct()
     found = rows.join(sized(stored(ids, "wanted")), F.col("id").eqNullSafe(F.col("wanted_id")), "left_semi").select("text")
     return found.mapInPandas(in_batches(gather), "h1 long, h2 long, items binary").groupBy("h1", "h2").agg(F.first("items").alias("items"))
@@ -239,21 +241,39 @@ def near_dup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size:
     linked, so copies and repeated rows share a component. A null id is never a component id unless all ids of its
     component are null; such rows are kept. An empty table gives no rows. Other columns do not matter.
     """
+    rows = _grouped(docs, doc_id, text, size, near, tile_bytes)
+    return rows.select("id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.col("id").eqNullSafe(F.col("component")).alias("kept"))
+
+
+def _grouped(docs: DataFrame, doc_id: str, text: str, size: int, near: int, tile_bytes: int, place: tuple[str, str] | None = None) -> DataFrame:
+    """Each row's id, n, component (least id), root (of its component, null without shingles) and, with ``place``, file and at."""
     prepare(docs.sparkSession)
-    signed = stored(signatures(docs, doc_id, text, size), "signed")
+    signed = stored(signatures(docs, doc_id, text, size, place), "signed")
     numbered = signed.where("n > 0").groupBy("h1", "h2").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("left").alias("left"), F.first("right").alias("right"))
     nodes = stored(numbered.withColumn("node", F.monotonically_increasing_id()), "nodes")
     roots = components(links(docs, nodes, doc_id, text, size, near, tile_bytes))
     ids = nodes.select("node", "id", "h1", "h2").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     # nodes that stand alone take no part in the sum over components
     least = roots.select("node", "root").unionByName(roots.select(F.col("root").alias("node"), "root").distinct()).join(nodes.select("node", "id"), "node").groupBy("root").agg(F.min("id").alias("least"))
-    named = ids.join(least, "root", "left").select("h1", "h2", F.coalesce("least", "id").alias("component"))
-    out = signed.select("id", "n", "h1", "h2").join(named, ["h1", "h2"], "left")
-    component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))
-    return out.select("id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+    named = ids.join(least, "root", "left").select("h1", "h2", "root", F.coalesce("least", "id").alias("component"))
+    out = signed.drop("left", "right").join(named, ["h1", "h2"], "left")
+    full = F.col("n") > 0
+    return out.withColumns({"component": F.when(full, F.col("component")).otherwise(F.col("id")), "root": F.when(full, F.col("root"))}).drop("h1", "h2")
 
 
 def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE, near: int = NEAR) -> DataFrame:
-    """``docs`` with one document of each group; all columns as they were."""
-    gone = stored(near_dup(docs, doc_id, text, size, near).where("NOT kept").select(F.col("id").alias("_gone")).distinct(), "near")
-    return docs.join(sized(gone), docs[doc_id].cast("long") == F.col("_gone"), "left_anti")
+    """``docs`` with one row of each group of near copies; all columns as they were, whatever their names.
+
+    Groups are those of ``near_dup``. It is decided row by row, so rows may share an id or have none: the row with the smallest
+    id stays, a row without id only if no other has one, and of rows with one id the first by place. Null, empty and blank
+    texts are near copies of nothing and all stay. Texts of any length count whole. An empty table gives no rows. Any source
+    will do (see ``tables.located``).
+    """
+    placed, file, at = located(docs)
+    rows = stored(_grouped(placed, doc_id, text, size, near, TILE_BYTES, (file, at)).where("root IS NOT NULL").select("root", "id", "file", "at"), "rows")
+    order = F.struct(F.col("id").isNull().alias("unnamed"), "id", "file", "at")
+    first = rows.groupBy("root").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1").select("root", "first.file", "first.at")
+    stays = first.toDF("stays_root", "stays_file", "stays_at")
+    others = rows.join(stays, F.col("root") == F.col("stays_root")).where((F.col("file") != F.col("stays_file")) | (F.col("at") != F.col("stays_at")))
+    gone = stored(others.select(F.col("file").alias(file), F.col("at").alias(at)), "near")
+    return placed.join(sized(gone, 100_000), [file, at], "left_anti").select(*[column(c) for c in docs.columns])

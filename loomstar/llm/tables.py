@@ -10,8 +10,11 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from loomstar.session import stored
+
 #: Rows of at most three numbers that may be broadcast (about 10 MB); a larger side is joined by a shuffle.
 BROADCAST_ROWS = 400_000
 #: Rows handed to Python at once, so that a batch of long texts stays small.
@@ -39,6 +42,22 @@ def column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def located(docs: DataFrame) -> tuple[DataFrame, str, str]:
+    """``docs`` with two more columns that say where each row lies, file and row number, and their names.
+
+    Rows of a Parquet scan are found as they lie; any other input (another format, a computed table) is stored first.
+    """
+    try:
+        known = docs.select(docs.metadataColumn("_metadata").alias("m")).schema["m"].dataType.names
+    except AnalysisException:  # no file scan
+        known = []
+    if not {"file_path", "row_index"} <= set(known):
+        return located(stored(docs, "documents"))
+    file, at = free_names(docs, "_file", "_at")
+    where = docs.metadataColumn("_metadata")
+    return docs.withColumns({file: where["file_path"], at: where["row_index"]}), file, at
+
+
 _shipped: set[str] = set()
 
 

@@ -6,6 +6,7 @@ character are 0x80 or more, so a rule over bytes below 0x80 is the same rule ove
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -45,6 +46,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 _BYTE_VALUES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 _powers: list[np.ndarray] = []
+#: Longer words are hashed one by one: sums of powers modulo 2^64 give one value to some pairs of words of 1,024 bytes and more.
+LONG_WORD = 128
 
 
 def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -80,7 +83,10 @@ def _piece_words(piece: np.ndarray, use: Rule, split=None) -> Words:
     sums = np.zeros(len(piece) + 1, np.uint64)
     np.cumsum(_BYTE_VALUES[use.fold[piece]] * power[: len(piece)], out=sums[1:])
     value = (sums[end] - sums[start]) * inverse[start]
-    return Words(start, end, mixed(value ^ (end - start).astype(np.uint64)))
+    value = mixed(value ^ (end - start).astype(np.uint64))
+    for i in np.flatnonzero(end - start > LONG_WORD).tolist():
+        value[i] = int.from_bytes(hashlib.blake2b(use.fold[piece[start[i] : end[i]]].tobytes(), digest_size=8).digest(), "little")
+    return Words(start, end, value)
 
 
 def words(buffer: np.ndarray, use: Rule, split=None) -> Words:

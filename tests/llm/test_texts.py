@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from loomstar.llm import decontaminate, exact_dedup, langid, line_dedup, lm_score, near_dup, packing, quality, secret_scan, toxicity
+from loomstar.llm import decontaminate, exact_dedup, langid, line_dedup, lm_score, near_dup, packing, quality, secret_scan, toxicity, wordbytes
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id long, digest string, `_x` int"
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -76,6 +76,58 @@ def test_near_dup_edges(spark, base, rows):
     assert near_dup.drop_near_copies(table(spark, base)).columns == table(spark, base).columns
 
 
+def test_near_copies_go_row_by_row(spark):
+    """Ids that repeat or are null: of each group of near copies one row stays, and no other text is lost."""
+    rng = random.Random(4)
+    words = ["w%d" % i for i in range(500)]
+    a, b, c = (rng.choices(words, k=100) for _ in range(3))
+    near = lambda t, k: " ".join(t[:50] + [f"x{k}"] + t[51:])
+    texts = [(1, " ".join(a)), (2, near(a, 1)), (2, "quite another text than all of these"), (3, near(b, 1)), (3, near(b, 2)), (None, near(a, 2)), (None, " ".join(c)), (None, near(c, 1)), (4, None), (4, ""), (None, None)]
+    kept = near_dup.drop_near_copies(table(spark, [(i, t, "en", "a") for i, t in texts])).collect()
+    found = sorted((str(r.doc_id), r.text or "") for r in kept)
+    assert [f for f in found if f[0] != "None"] == sorted([("1", texts[0][1]), ("2", texts[2][1]), ("3", next(t for i, t in found if i == "3")), ("4", ""), ("4", "")])
+    assert len([f for f in found if f[0] == "None" and f[1]]) == 1 and len(found) == 7
+
+
+CLASH = ["_file", "_at", "_named", "_found", "_gone", "_runs", "_site", "_host", "file", "at", "id", "digest", "n", "h1", "root", "component", "_x", "a.b", "rows", "first", "_metadata"]
+
+
+def test_any_source_and_any_names(spark, tmp_path):
+    """Helper columns that the table already has, and tables read from CSV, JSON and no file at all."""
+    bench = spark.createDataFrame([(1, "one two three four five six seven eight nine ten")], "item_id long, text string")
+    docs = [(1, "alpha beta gamma delta epsilon zeta"), (2, "alpha beta gamma delta epsilon zeta"), (3, "a one two three four five six seven eight nine ten b"), (4, "omega psi")]
+    made = spark.createDataFrame([(i, t, "en", *CLASH) for i, t in docs], ["doc_id", "text", "lang", *CLASH]).repartition(1)
+    made.write.parquet(f"{tmp_path}/p")
+    made.write.option("header", True).csv(f"{tmp_path}/c")
+    made.write.json(f"{tmp_path}/j")
+    steps = {exact_dedup.drop_exact_copies: [1, 3, 4], near_dup.drop_near_copies: [1, 3, 4], langid.keep_known: [1, 2, 3, 4], lambda d: decontaminate.remove_benchmark(d, bench): [1, 2, 3, 4]}
+    sources = [spark.read.parquet(f"{tmp_path}/p"), spark.read.option("header", True).csv(f"{tmp_path}/c"), spark.read.json(f"{tmp_path}/j"), made.unionByName(made.limit(0))]
+    for k, source in enumerate(sources):
+        for step, ids in steps.items():
+            if k and step not in (exact_dedup.drop_exact_copies, near_dup.drop_near_copies):
+                continue
+            got = step(source)
+            rows = sorted(got.collect(), key=lambda r: int(r.doc_id))
+            assert got.columns == source.columns and [int(r.doc_id) for r in rows] == ids
+            assert all(r[c] == c for r in rows for c in CLASH)
+
+
+def test_long_words_that_sums_of_powers_confuse(spark):
+    """A Thue-Morse word of 1,024 letters and its complement."""
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    other = one.translate({97: 98, 98: 97})
+    for rule in (wordbytes.SPACED, wordbytes.ALNUM):
+        found = wordbytes.batch_words([one.encode(), other.encode(), (other + " " + one).encode()], rule).words.hash.tolist()
+        assert found[0] != found[1] and found[2:] == [found[1], found[0]]
+    docs = table(spark, [(1, one, "en", "a"), (2, other, "en", "a"), (3, one, "en", "a")])
+    assert sorted((r.id, r.component_id) for r in near_dup.near_dup(docs).collect()) == [(1, 1), (2, 2), (3, 1)]
+    coder = Tokenizer.from_file(PATH)
+    packed = {r.id: np.frombuffer(bytes(r.ids), "<u4").tolist() for r in packing.pack(docs.repartition(1), PATH, 2, length=1 << 20).collect()}
+    assert packed == {i: coder.encode(t, add_special_tokens=False).ids + [2] for i, t in ((1, one), (2, other), (3, one))}
+    bench = spark.createDataFrame([(1, other)], "item_id long, text string")
+    assert {r.doc_id: r.h.n_hit for r in docs.select("doc_id", decontaminate.benchmark_hits(docs, bench, docs["text"]).alias("h")).collect()} == {1: 0, 2: 1, 3: 0}
+
+
 def shingles(text, size):
     words = [w for w in re.split("[\x20\x09-\x0D]+", (text or "").translate({c: c + 32 for c in range(65, 91)})) if w]
     return frozenset(tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))) if words else frozenset()
