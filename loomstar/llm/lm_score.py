@@ -5,7 +5,8 @@ counts of all unigrams and bigrams of all documents are kept, so they grow with
 
 Documents are packed into chunks of about ``CHUNK`` characters. A chunk sends each of its n-grams once, with its counts, to the
 bucket of the n-gram's hash; the bucket adds up what all chunks sent and answers each. A frequent n-gram is thus one entry for
-each chunk, and there are as many buckets as the input needs for each to hold about ``BUCKET`` characters' n-grams.
+each chunk, and there are as many buckets as the input needs for each to hold about ``BUCKET`` characters' n-grams. A chunk
+writes to the buckets of its own n-grams only, so it never sends more rows than it has distinct ones.
 """
 
 from __future__ import annotations
@@ -20,15 +21,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from loomstar.llm.grams import codes, slices
-from loomstar.llm.tables import prepare
+from loomstar.llm.tables import column, prepare
 from loomstar.session import stored
 
-#: Weights of trigram, bigram, unigram and uniform estimates of ``losses``.
-MIXTURE = (0.6, 0.25, 0.1, 0.05)
 #: Weights of bigram, unigram and uniform estimates of words.
 WORD_MIXTURE = (0.6, 0.35, 0.05)
 #: Characters of documents that are packed together, and of those whose n-grams one bucket holds.
 CHUNK, BUCKET = 1 << 22, 1 << 22
+#: Chunks for each task that adds up or answers.
+CHUNKS_EACH = 4
 #: Bits of an n-gram's hash.
 BITS = 48
 #: Scripts that are written without spaces (first and last code points): each character is a token.
@@ -53,6 +54,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 _START, _END = _mixed(np.array([1 << 40, 2 << 40], np.uint64))
+_START_UNIGRAM = _START >> np.uint64(64 - BITS)
 
 
 def word_tokens(group: list[tuple[int, str]]) -> tuple[np.ndarray, np.ndarray]:
@@ -108,7 +110,9 @@ def _packed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     def chunk() -> pd.DataFrame:
         whole = "".join(texts).encode("utf-8", "surrogatepass")
         name = (TaskContext.get().partitionId() << 32) + number
-        return pd.DataFrame({"chunk": [name], "ids": [ids], "sizes": [[len(t) for t in texts]], "bytes": [len(whole)], "texts": [codec.compress(whole, asbytes=True)]})
+        one, _, doc = _tokens(texts)
+        tokens = np.bincount(doc[one != _START_UNIGRAM], minlength=len(texts))
+        return pd.DataFrame({"chunk": [name], "ids": [ids], "sizes": [[len(t) for t in texts]], "tokens": [tokens.tolist()], "bytes": [len(whole)], "texts": [codec.compress(whole, asbytes=True)]})
 
     for frame in frames:
         for id_, text in zip(frame["id"], frame["text"]):
@@ -137,56 +141,28 @@ def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-class Tokens:
-    """Numbers of characters: 1.. in the vocabulary, 0 for others, and the last one for the start of a text."""
-
-    def __init__(self, vocabulary: np.ndarray):
-        self.table = np.zeros(0x110000, np.int32)
-        self.table[vocabulary] = np.arange(1, len(vocabulary) + 1)
-        self.start, self.size = len(vocabulary) + 1, len(vocabulary) + 2
-
-    def trigrams(self, group: list[tuple[int, str]]) -> tuple[np.ndarray, np.ndarray]:
-        """(number of each trigram, where each text's begin): one for every character, with two starts in front of a text."""
-        parts = [part.lower() for _, part in group]
-        length = np.array([len(p) for p in parts])
-        first = np.cumsum(length) - length
-        value = np.full(int(length.sum()) + 2 * len(parts), self.start, np.int32)
-        slot = np.arange(int(length.sum())) + 2 * np.repeat(np.arange(1, len(parts) + 1), length)
-        value[slot] = self.table[codes("".join(parts))]
-        number = (value[slot - 2] * self.size + value[slot - 1]) * self.size + value[slot]
-        return number, np.append(first, len(slot))
-
-
-def losses(count: np.ndarray, size: int) -> np.ndarray:
-    """float32[size ** 3]: negative log2 probability of each trigram's last token, interpolated with shorter contexts."""
-    tri = count.reshape(size, size, size).astype(np.float64)
-    bi, a, b, c, d = tri.sum(axis=0), *MIXTURE
-    uni = bi.sum(axis=0)
-    found = np.full(tri.shape, d / size) + c * uni / max(uni.sum(), 1e-9)
-    context = bi.sum(axis=1, keepdims=True)
-    found += b * np.divide(bi, context, out=np.full_like(bi, 1 / size), where=context > 0)
-    context = tri.sum(axis=2, keepdims=True)
-    found += a * np.divide(tri, context, out=np.full_like(tri, 1 / size), where=context > 0)
-    return -np.log2(found).astype(np.float32).ravel()
-
-
 def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, n_tokens (characters), target_loss, corpus_loss (bits per character), score (their difference; lower: more like the target).
+    """One row per row of ``docs``: id, n_tokens, target_loss, corpus_loss (bits per token), score (their difference; lower: more like the target).
 
-    ``target_ids`` has the ids (first column) of the target's documents. A null or empty text has no tokens, losses and score of
-    0. Without target documents all target losses are those of a model without counts. Repeated rows count each time, and
-    equal texts get equal scores. An empty table gives no rows.
+    ``target_ids`` has the ids (first column) of the target's documents; these are scored by a model that has seen them, as the
+    whole corpus' model has seen all. The end of a text is a token, so only a null or empty text has none, and losses and score
+    of 0. The vocabulary that both models share counts as large as the corpus. Without target documents all target losses are
+    those of a model without counts. Repeated rows count each time, and equal texts get equal scores. Texts of any length are
+    read whole. An empty table gives no rows, and no other column is read.
     """
     spark = docs.sparkSession
     prepare(spark)
-    ids = target_ids.select(target_ids[target_ids.columns[0]].cast("long").alias("target_id")).where("target_id IS NOT NULL").distinct()
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    chunks = stored(rows.mapInPandas(_packed, "chunk long, ids array<long>, sizes array<int>, bytes long, texts binary"), "chunks")
-    most = chunks.select(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, n: a + n))).first()[0] or 0
-    bits = min(max(4, int(most // BUCKET).bit_length()), 24)
+    ids = target_ids.select(column(target_ids.columns[0]).cast("long").alias("target_id")).where("target_id IS NOT NULL").distinct()
+    rows = docs.select(column(doc_id).cast("long").alias("id"), column(text).alias("text"))
+    chunks = stored(rows.mapInPandas(_packed, "chunk long, ids array<long>, sizes array<int>, tokens array<long>, bytes long, texts binary"), "chunks")
+    added = lambda c: F.sum(F.aggregate(c, F.lit(0).cast("long"), lambda a, n: a + n))
+    most, all_tokens, count = chunks.select(added("sizes"), added("tokens"), F.count(F.lit(1))).first()
+    bits = min(max(4, int((most or 0) // BUCKET).bit_length()), BITS - 8)
     # only ids move to find the target's documents; the places of a chunk's are one row
-    places = chunks.select("chunk", F.posexplode("ids").alias("place", "id")).join(ids.hint("merge"), F.col("id") == F.col("target_id"), "left_semi")
-    wanted = stored(places.groupBy("chunk").agg(F.collect_list("place").alias("wanted")), "wanted")
+    places = chunks.select("chunk", F.posexplode(F.arrays_zip("ids", "tokens")).alias("place", "d")).select("chunk", "place", "d.ids", "d.tokens")
+    chosen = stored(places.join(ids.hint("merge"), F.col("ids") == F.col("target_id"), "left_semi").groupBy("chunk").agg(F.collect_list("place").alias("wanted"), F.sum("tokens").alias("tokens")), "wanted")
+    total = {"n": all_tokens or 0, "t": chosen.agg(F.sum("tokens")).first()[0] or 0}
+    wanted = chosen.select("chunk", "wanted")
 
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -195,50 +171,51 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, doc_id: str
                 target = np.zeros(len(row.sizes), bool)
                 if row.wanted is not None:
                     target[np.asarray(row.wanted, int)] = True
-                begins = one == _START >> np.uint64(64 - BITS)
+                begins = one == _START_UNIGRAM
                 for order, value, own in ((0, one, slice(None)), (1, two, ~begins)):
                     value, chosen = value[own], target[doc][own]
                     gram, n = _counted(value)
                     t = np.zeros(len(gram), np.uint32)
                     some, number = _counted(value[chosen])
                     t[np.searchsorted(gram, some)] = number
-                    cut = np.searchsorted(gram >> np.uint64(BITS - bits), np.arange((1 << bits) + 1))
+                    bucket = (gram >> np.uint64(BITS - bits)).astype(np.int64)
+                    first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(gram) else np.zeros(0, int)
                     rest, n = gram & np.uint64((1 << BITS - bits) - 1), n.astype(np.uint32)
-                    parts = list(zip(cut[:-1].tolist(), cut[1:].tolist()))
-                    for first in range(0, len(parts), 64):
-                        some_parts = parts[first : first + 64]
-                        yield pd.DataFrame({"bucket": order * (1 << bits) + first + np.arange(len(some_parts)), "chunk": row.chunk, "grams": [_planes(rest[a:b]) for a, b in some_parts], "n": [_planes(n[a:b]) for a, b in some_parts], "t": [_planes(t[a:b]) for a, b in some_parts]})
+                    parts = list(zip(first.tolist(), np.append(first[1:], len(gram)).tolist()))
+                    for at in range(0, len(parts), 64):
+                        some_parts, which = parts[at : at + 64], bucket[first[at : at + 64]]
+                        yield pd.DataFrame({"bucket": order * (1 << bits) + which, "chunk": row.chunk, "grams": [_planes(rest[a:b]) for a, b in some_parts], "n": [_planes(n[a:b]) for a, b in some_parts], "t": [_planes(t[a:b]) for a, b in some_parts]})
 
     def answer(frame: pd.DataFrame) -> pd.DataFrame:
         grams = [_numbers(x, np.uint64) for x in frame["grams"]]
         size = np.cumsum([0, *map(len, grams)])
         distinct, place = np.unique(np.concatenate(grams), return_inverse=True)
         sums = {k: np.bincount(place, np.concatenate([_numbers(x, np.uint32) for x in frame[k]]), len(distinct)).astype(np.int64) for k in "nt"}
-        out = {"bucket": frame["bucket"], "chunk": frame["chunk"], "distinct": len(distinct), "all_n": int(sums["n"].sum()), "all_t": int(sums["t"].sum())}
-        return pd.DataFrame(out | {k: [_planes(sums[k][place[a:b]]) for a, b in zip(size, size[1:])] for k in "nt"})
+        return pd.DataFrame({"bucket": frame["bucket"], "chunk": frame["chunk"]} | {k: [_planes(sums[k][place[a:b]]) for a, b in zip(size, size[1:])] for k in "nt"})
 
     def judge(packed: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         row, answers = next(packed.itertuples(index=False)), answers.sort_values("bucket")
         one, two, doc = _tokens(_texts(row))
-        begins = one == _START >> np.uint64(64 - BITS)
+        begins = one == _START_UNIGRAM
         parts, bits_of = [answers[answers["bucket"] < 1 << bits], answers[answers["bucket"] >= 1 << bits]], np.zeros((2, len(row.sizes)))
         places = [np.searchsorted(np.unique(value), value) for value in (one, two[~begins])]
         own = np.flatnonzero(~begins)
         before = places[0][own - 1]
         for k, kind in enumerate("tn"):
+            if not len(own):
+                break
             uni, bi = (np.concatenate([_numbers(x, np.int64) for x in p[kind]]).astype(float) for p in parts)
-            total = parts[1][f"all_{kind}"].sum()  # a bigram for each token that is no start
-            vocabulary = max(int(parts[0]["distinct"].sum()) - 1, 1)
-            if len(own):
-                context = uni[before]
-                a, b, c = WORD_MIXTURE
-                share = np.divide(bi[places[1]], context, out=np.full(len(own), 1 / vocabulary), where=context > 0)
-                chance = a * share + b * uni[places[0][own]] / max(total, 1) + c / vocabulary
-                bits_of[k] = np.bincount(doc[own], -np.log2(chance), len(row.sizes))
-        n = np.array(row.sizes)
+            context, vocabulary = uni[before], total["n"] + 1
+            a, b, c = WORD_MIXTURE
+            share = np.divide(bi[places[1]], context, out=np.full(len(own), 1 / vocabulary), where=context > 0)
+            chance = a * share + b * uni[places[0][own]] / max(total[kind], 1) + c / vocabulary
+            bits_of[k] = np.bincount(doc[own], -np.log2(chance), len(row.sizes))
+        n = np.array(row.tokens)
         target, corpus = bits_of / np.maximum(n, 1)
         return pd.DataFrame({"id": pd.array([None if pd.isna(i) else int(i) for i in row.ids], "Int64"), "n_tokens": n, "target_loss": target, "corpus_loss": corpus, "score": target - corpus})
 
-    asked = chunks.join(wanted, "chunk", "left").mapInPandas(ask, "bucket int, chunk long, grams binary, n binary, t binary")
-    answers = asked.groupBy("bucket").applyInPandas(answer, "bucket int, chunk long, distinct long, all_n long, all_t long, n binary, t binary")
-    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(judge, "id long, n_tokens long, target_loss double, corpus_loss double, score double")
+    # partitions grow with the input, so that a task's share does not
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), count // CHUNKS_EACH)
+    asked = chunks.join(wanted, "chunk", "left").mapInPandas(ask, "bucket long, chunk long, grams binary, n binary, t binary").repartition(tasks, "bucket")
+    answers = asked.groupBy("bucket").applyInPandas(answer, "bucket long, chunk long, n binary, t binary").repartition(tasks, "chunk")
+    return chunks.repartition(tasks, "chunk").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(judge, "id long, n_tokens long, target_loss double, corpus_loss double, score double")

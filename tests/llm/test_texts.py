@@ -341,35 +341,12 @@ def test_lm_score(spark, base):
     got = lm_score.cross_entropy_difference(docs, good).collect()
     assert len(got) == len(base) and all(np.isfinite(r.score) for r in got)
     by = {r.id: r for r in got}
-    assert by[3].n_tokens == 0 == by[3].score and by[6].n_tokens == len(base[5][1]) and by[6].score == by[7].score
+    assert by[3].n_tokens == 0 == by[3].score and by[6].n_tokens == 30_001 and by[6].score == by[7].score
     assert by[6].score < by[10].score
     assert lm_score.cross_entropy_difference(table(spark, []), good).count() == 0
     assert lm_score.cross_entropy_difference(docs, good.limit(0)).count() == len(base)
 
 
-def test_lm_losses_against_brute_force():
-    """Counts and losses of a small corpus, worked out with dictionaries."""
-    texts, vocabulary = ["abab", "ba", "cab!"], np.array(sorted(map(ord, "abc")))
-    tokens = lm_score.Tokens(vocabulary)
-    number, first = tokens.trigrams(list(enumerate(texts)))
-    count = np.bincount(number, minlength=tokens.size**3)
-    table_ = lm_score.losses(count, tokens.size)
-    named = lambda t: [tokens.start] * 2 + [1 + "abc".index(c) if c in "abc" else 0 for c in t]
-    grams = [tuple(named(t)[i : i + 3]) for t in texts for i in range(len(t))]
-    total = {k: defaultdict(int) for k in (1, 2, 3)}
-    context = {k: defaultdict(int) for k in (2, 3)}
-    for g in grams:
-        for k in (1, 2, 3):
-            total[k][g[3 - k :]] += 1
-        for k in (2, 3):
-            context[k][g[3 - k : 2]] += 1
-    a, b, c, d = lm_score.MIXTURE
-    for g, n in zip(grams, number.tolist()):
-        p = a * total[3][g] / context[3][g[:2]] + b * total[2][g[1:]] / context[2][g[1:2]] + c * total[1][g[2:]] / len(grams) + d / tokens.size
-        assert table_[n] == pytest.approx(-np.log2(p), rel=1e-5)
-    assert first.tolist() == [0, 4, 6, 10]
-
-
 def test_lm_score_tells_rare_scripts_apart(spark):
     """More characters than any cap, most of them rare: what the target says of a script counts, word by word and sign by sign."""
     rng = random.Random(8)
@@ -390,7 +367,7 @@ def test_word_losses_against_brute_force(spark):
     found = {r.id: r for r in lm_score.cross_entropy_difference(docs, spark.createDataFrame([(i,) for i in target], "doc_id long")).collect()}
     split = lambda t: ["<", *re.findall(r"[^\W漢]+|(?<= ) |[^\w ]|漢", t), ">"] if t else []
     words = [split(t) for t in texts]
-    vocabulary = len({w for s in words for w in s[1:]})
+    vocabulary = sum(len(s[1:]) for s in words) + 1
     for name, chosen in (("target_loss", target), ("corpus_loss", set(range(len(texts))))):
         one = Counter(w for i in chosen for w in words[i])
         two = Counter(p for i in chosen for p in zip(words[i], words[i][1:]))
@@ -398,7 +375,29 @@ def test_word_losses_against_brute_force(spark):
         a, b, c = lm_score.WORD_MIXTURE
         for i, s in enumerate(words):
             bits = -sum(np.log2(a * (two[v, w] / one[v] if one[v] else 1 / vocabulary) + b * one[w] / total + c / vocabulary) for v, w in zip(s, s[1:]))
-            assert found[i][name] == pytest.approx(bits / max(len(texts[i] or ""), 1))
+            assert found[i][name] == pytest.approx(bits / max(len(s) - 1, 1)) and found[i].n_tokens == max(len(s) - 1, 0)
+
+
+def test_rows_sent_grow_with_the_input(spark, monkeypatch):
+    """Chunks that double send twice the rows, and none for a bucket without an n-gram of theirs."""
+    rng = random.Random(2)
+    words = ["w%d" % i for i in range(3000)]
+    texts = [" ".join(rng.choices(words, k=60)) for _ in range(64)]
+    monkeypatch.setattr(lm_score, "CHUNK", 2000)
+    monkeypatch.setattr(lm_score, "BUCKET", 400)
+    sent, real = [], type(spark.range(1)).repartition
+
+    def counted(df, n, *by):
+        if by == ("bucket",):
+            sent.append((df.count(), df.where("octet_length(grams) = 0").count()))
+        return real(df, n, *by)
+
+    monkeypatch.setattr(type(spark.range(1)), "repartition", counted)
+    for k in (32, 64):
+        docs = table(spark, [(i, t, "en", "a") for i, t in enumerate(texts[:k])]).coalesce(1)
+        assert lm_score.cross_entropy_difference(docs, spark.createDataFrame([(1,)], "doc_id long")).count() == k
+    (few, none), (many, no) = sent
+    assert none == no == 0 and few < many <= 2.2 * few
 
 
 def test_classifiers_on_edge_rows(spark, base):
