@@ -8,7 +8,7 @@ from catalog import inputs
 from catalog.registry import Tables, query
 from loomstar.operators import profile, reshape
 from loomstar.session import scratch_path
-from loomstar.sources import readers, schemas, sinks
+from loomstar.sources import readers, records, schemas, sinks
 from loomstar.streaming.pickup import append_to_raw, pick_up
 
 PART_SCHEMA = "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
@@ -96,6 +96,33 @@ def _(t: Tables) -> DataFrame:
     return _told_apart(*readers.quarantine(t.spark, path, "o_orderkey bigint, o_totalprice double", "csv"), "o_orderkey")
 
 
+@query(
+    "csv_records_over_lines",
+    """SELECT 'good' AS side, o_orderkey, 'line ' || o_orderkey || chr(10) || '"' || o_orderstatus || '",' || chr(10) || chr(10) || 'end' AS note FROM orders WHERE o_orderkey % 5 <> 0
+       UNION ALL SELECT 'bad', NULL, 'dear,"line ' || o_orderkey || chr(10) || '""' || o_orderstatus || '"",' || chr(10) || chr(10) || 'end"' FROM orders WHERE o_orderkey % 5 = 0""",
+)
+def _(t: Tables) -> DataFrame:
+    """Notes of several lines, with quotes and blank lines; every fifth record has a word for its key."""
+    path = scratch_path(t.spark, "csv")
+    key = F.when(F.col("o_orderkey") % 5 == 0, F.lit("dear")).otherwise(F.col("o_orderkey").cast("string"))
+    note = F.concat(F.lit("line "), "o_orderkey", F.lit('\n"'), "o_orderstatus", F.lit('",\n\nend'))
+    sinks.land_csv(t.orders.select(key.alias("o_orderkey"), note.alias("note")), path)
+    good, bad = records.csv_records(t.spark, path, "o_orderkey bigint, note string")
+    return good.select(F.lit("good").alias("side"), "o_orderkey", "note").unionByName(bad.select(F.lit("bad").alias("side"), F.lit(None).cast("bigint").alias("o_orderkey"), F.col(readers.BAD).alias("note")))
+
+
+@query(
+    "json_records_of_arrays",
+    """SELECT p_partkey AS id, p_name AS title, p_retailprice AS price, 'a } "{[' || p_brand AS description, CAST(p_size / 10.0 AS DOUBLE) AS rate FROM part""",
+)
+def _(t: Tables) -> DataFrame:
+    """One JSON array per file, each read by as many tasks as it has splits."""
+    pages = scratch_path(t.spark, "pages")
+    sinks.land_json_array(inputs.product_documents(t).withColumn("description", F.concat(F.lit('a } "{['), F.split("description", " ")[0])), pages, page_per_file=True)
+    good, _ = records.json_array_records(t.spark, pages, schemas.PRODUCT_DOCUMENT)
+    return good.select("id", "title", "price", "description", F.col("rating.rate").alias("rate"))
+
+
 @query(
     "insert_select",
     """SELECT c_custkey AS user_key, CAST(c_custkey AS VARCHAR) AS user_id, c_name AS user_name FROM customer
@@ -230,7 +257,7 @@ def _(t: Tables) -> DataFrame:
     return profile.sample_rows(t.orders.select("o_orderkey", "o_custkey"), 5, seed=7, by=["o_orderkey"])
 
 
-@query("sample_rows_by_layout", "SELECT 5::BIGINT AS drawn, 5::BIGINT AS different, 5::BIGINT AS known FROM (SELECT count(*) FROM orders)")
+@query("sample_rows_by_layout", "SELECT least(5, count(*)) AS drawn, least(5, count(DISTINCT o_orderkey)) AS different, least(5, count(o_custkey)) AS known FROM orders")
 def _(t: Tables) -> DataFrame:
     """A draw that depends on how the rows lie: what must hold for every draw."""
     drawn = profile.sample_rows(t.orders.select("o_orderkey", "o_custkey"), 5, seed=7)
@@ -250,6 +277,6 @@ def _(t: Tables) -> DataFrame:
     return profile.list_columns(t.documents)
 
 
-@query("table_shape", "SELECT count(*) AS row_count, CAST(11 AS BIGINT) AS column_count FROM lineitem")
+@query("table_shape", "SELECT count(*) AS row_count, (SELECT count(*) FROM (DESCRIBE lineitem)) AS column_count FROM lineitem")
 def _(t: Tables) -> DataFrame:
     return profile.shape(t.lineitem)
