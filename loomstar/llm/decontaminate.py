@@ -6,17 +6,22 @@ shorter than the shortest phrase cannot hold a phrase and is left out, and any o
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Iterable, Iterator
+from math import ceil
+
 import numpy as np
 import pandas as pd
 from pyspark.broadcast import Broadcast
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from loomstar.llm.fm_index import FMIndex
-from loomstar.llm.tables import column, free_names, prepare
+from loomstar.llm.tables import column, free_names, located, prepare
 from loomstar.llm.wordbytes import ALNUM, Batch, batch_words, groups
+from loomstar.session import stored
 
 WINDOW = 10
-#: Bytes of documents per shard, and benchmark words that are broadcast and searched at once; more take further blocks.
+#: Bytes of documents per shard, and benchmark words that are broadcast and searched at once; more take further blocks and passes.
 SHARD_BYTES, BLOCK_WORDS = 2 << 20, 1 << 20
 
 RESULT = "n_words long, n_hit long, items array<string>, spans array<array<long>>, cleaned string"
@@ -102,72 +107,122 @@ def _spans(raw: bytes, start: np.ndarray, end: np.ndarray, hit: np.ndarray) -> l
     return [(int(start[a]), int(end[b - 1])) for a, b in zip(edge[::2], edge[1::2])]
 
 
-def _searched(texts: list, blocks: list[Broadcast]) -> pd.DataFrame:
-    rows = []
-    for first, raw in groups(texts, SHARD_BYTES):
+def _hit_words(texts: list, phrases: Phrases | None) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray, set[str]]]:
+    """For each text its bytes, where its words start and end, which are hit by the block, and the items found."""
+    for _, raw in groups(texts, SHARD_BYTES):
         batch = batch_words(raw, ALNUM)
         hit, found = np.zeros(len(batch.words.hash), bool), [set() for _ in raw]
-        for block in blocks:
-            phrases = block.value
-            own, docs, items = shard_hits(batch, phrases)
-            hit |= own
+        if phrases is not None:
+            hit, docs, items = shard_hits(batch, phrases)
             for d, i in zip(docs.tolist(), items.tolist()):
                 found[d].add(phrases.names[i])
-        total = np.concatenate([[0], np.cumsum(hit)])
         for i, text in enumerate(raw):
             a, b, at = batch.bounds[i], batch.bounds[i + 1], int(batch.offsets[i])
-            n = int(total[b] - total[a])
-            spans, cleaned = [], texts[first + i] if isinstance(texts[first + i], str) else None
-            if n:
-                cut = _spans(text, batch.words.start[a:b] - at, batch.words.end[a:b] - at, hit[a:b])
-                spans = [[len(text[:x].decode("utf-8", "surrogatepass")), len(text[:y].decode("utf-8", "surrogatepass"))] for x, y in cut]
-                edges = [0, *(e for s in cut for e in s), len(text)]
-                cleaned = b"".join(text[x:y] for x, y in zip(edges[::2], edges[1::2])).decode("utf-8", "surrogatepass")
-            rows.append((b - a, n, sorted(found[i]), spans, cleaned))
-    return pd.DataFrame(rows, columns=["n_words", "n_hit", "items", "spans", "cleaned"])
-
-
-def _blocks(benchmark: DataFrame, item_id: str, text: str, window: int, block_words: int) -> list[Broadcast]:
-    """Phrases of the benchmark, broadcast in blocks of about ``block_words`` words, read one block at a time."""
-    context, blocks, items, texts, size = benchmark.sparkSession.sparkContext, [], [], [], 0
-    for row in benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(text).alias("text")).where("text IS NOT NULL").toLocalIterator():
-        items.append(row["item"] or "")
-        texts.append(row["text"])
-        size += len(row["text"]) // 4 + 1
-        if size >= block_words:
-            blocks.append(context.broadcast(Phrases(items, texts, window)))
-            items, texts, size = [], [], 0
-    if items:
-        blocks.append(context.broadcast(Phrases(items, texts, window)))
-    return blocks
-
-
-def benchmark_hits(docs: DataFrame, benchmark: DataFrame, text: Column, item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS) -> Column:
-    """A struct for each row of ``docs``: n_words, n_hit, items, spans (code points, end exclusive), cleaned (the rest of the text).
+            yield text, batch.words.start[a:b] - at, batch.words.end[a:b] - at, hit[a:b], found[i]
+
+
+def _told(value, text: bytes, start: np.ndarray, end: np.ndarray, hit: np.ndarray, items: Iterable[str]) -> tuple:
+    """The result of one document; ``value`` is its text as it came."""
+    n = int(hit.sum())
+    spans, cleaned = [], value if isinstance(value, str) else None
+    if n:
+        cut = _spans(text, start, end, hit)
+        spans = [[len(text[:x].decode("utf-8", "surrogatepass")), len(text[:y].decode("utf-8", "surrogatepass"))] for x, y in cut]
+        edges = [0, *(e for s in cut for e in s), len(text)]
+        cleaned = b"".join(text[x:y] for x, y in zip(edges[::2], edges[1::2])).decode("utf-8", "surrogatepass")
+    return len(start), n, sorted(items), spans, cleaned
+
+
+_COLUMNS = ["n_words", "n_hit", "items", "spans", "cleaned"]
+
+
+def phrase_blocks(benchmark: DataFrame, item_id: str, text: str, window: int, block_words: int) -> DataFrame:
+    """(block, raw): the phrases of the benchmark in blocks of about ``block_words`` words, each built by a task and stored as one row."""
+    items = benchmark.select(F.coalesce(column(item_id).cast("string"), F.lit("")).alias("item"), column(text).alias("text")).where("text IS NOT NULL").distinct()
+    words = items.agg(F.sum(F.length("text") / 4 + 1)).first()[0] or 0
+    number = max(1, ceil(words / block_words))
+
+    def build(frame: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"block": frame["block"].iloc[:1].array, "raw": [pickle.dumps(Phrases(frame["item"].tolist(), frame["text"].tolist(), window))]})
+
+    dealt = items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(number)))
+    return stored(dealt.groupBy("block").applyInPandas(build, "block long, raw binary"), "phrases")
+
+
+def benchmark_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS, into: str = "hits") -> DataFrame:
+    """``docs`` and a struct ``into``: n_words, n_hit, items, spans (code points, end exclusive), cleaned (the rest of the text).
 
     Words are ASCII letters and digits and all characters beyond ASCII, with A-Z as a-z. A window is ``window`` consecutive
     words of an item; an item of fewer words, but not none, is one window. A word inside any occurrence of a window is hit.
     A null or empty text has no words, a benchmark without words hits nothing, an item with a null text is passed over, one
-    with a null id is named ''. Repeated rows and items give the same result each time.
+    with a null id is named ''. Repeated rows and items give the same result each time. Texts of any length are searched whole.
+
+    One block of phrases is broadcast at a time. A benchmark of one block takes one pass; of more, one pass for each block,
+    which keeps the words it hits, and one that puts them together.
     """
-    prepare(docs.sparkSession)
-    blocks = _blocks(benchmark, item_id, item_text, window, block_words)
+    spark = docs.sparkSession
+    prepare(spark)
+    blocks = phrase_blocks(benchmark, item_id, item_text, window, block_words)
+    names = sorted(r["block"] for r in blocks.select("block").collect())  # numbers of blocks
+
+    def load(block: int) -> Broadcast:
+        return spark.sparkContext.broadcast(pickle.loads(blocks.where(F.col("block") == block).first()["raw"]))
+
+    if len(names) <= 1:
+        phrases = load(names[0]) if names else None
+
+        @F.pandas_udf(RESULT)
+        def search(texts: pd.Series) -> pd.DataFrame:
+            values = texts.tolist()
+            found = _hit_words(values, phrases.value if phrases else None)
+            return pd.DataFrame([_told(v, *f) for v, f in zip(values, found)], columns=_COLUMNS)
+
+        return docs.withColumn(into, search(column(text)))
+
+    placed, file, at = located(docs)
+    parts = None
+    for block in names:
+        phrases = load(block)
+        own = stored(placed.select(column(file).alias("file"), column(at).alias("at"), _hit_ranges(phrases)(column(text)).alias("h")).where("size(h.ranges) > 0").select("file", "at", "h.*"), "hits")
+        phrases.destroy()
+        parts = own if parts is None else parts.unionByName(own)
+    whole = parts.groupBy("file", "at").agg(F.flatten(F.collect_list("ranges")).alias("ranges"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
 
     @F.pandas_udf(RESULT)
+    def finish(texts: pd.Series, ranges: pd.Series, items: pd.Series) -> pd.DataFrame:
+        values, rows = texts.tolist(), []
+        for k, (raw, start, end, hit, _) in enumerate(_hit_words(values, None)):
+            for a, b in ranges.iloc[k] if ranges.iloc[k] is not None else ():
+                hit[a:b] = True
+            rows.append(_told(values[k], raw, start, end, hit, items.iloc[k] if items.iloc[k] is not None else ()))
+        return pd.DataFrame(rows, columns=_COLUMNS)
+
+    found_file, found_at, ranges, items = free_names(placed, "_hit_file", "_hit_at", "_ranges", "_items")
+    joined = placed.join(whole.toDF(found_file, found_at, ranges, items), (column(file) == column(found_file)) & (column(at) == column(found_at)), "left")
+    return joined.select(*[column(c) for c in docs.columns], finish(column(text), column(ranges), column(items)).alias(into))
+
+
+def _hit_ranges(phrases: Broadcast):
+    @F.pandas_udf("ranges array<array<long>>, items array<string>")
     def search(texts: pd.Series) -> pd.DataFrame:
-        return _searched(texts.tolist(), blocks)
+        rows = []
+        for _, _, _, hit, items in _hit_words(texts.tolist(), phrases.value):
+            edge = np.flatnonzero(np.diff(hit.view(np.int8), prepend=0, append=0))
+            rows.append((edge.reshape(-1, 2).tolist(), sorted(items)))
+        return pd.DataFrame(rows, columns=["ranges", "items"])
 
-    return search(text)
+    return search
 
 
 def remove_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, n_chars: str | None = "n_chars") -> DataFrame:
     """``docs`` without the passages of the benchmark; columns as they were.
 
     A document of which nothing but white space is left is dropped, if it had a passage; all others stay. ``n_chars`` (if
-    there is such a column) is counted anew where the text changed.
+    there is such a column) is counted anew where the text changed. Null and empty texts stay, repeated rows fare alike, texts
+    of any length are searched whole, an empty table gives no rows, and columns may have any names.
     """
     (name,) = free_names(docs, "_found")
-    found = docs.withColumn(name, benchmark_hits(docs, benchmark, column(text), item_id, item_text, window))
+    found = benchmark_hits(docs, benchmark, text, item_id, item_text, window, into=name)
     hit, rest = F.col(name)["n_hit"] > 0, F.col(name)["cleaned"]
     kept = found.where(~hit | (F.trim(F.regexp_replace(rest, "\\s+", " ")) != ""))
     changed = {text: F.when(hit, rest).otherwise(column(text))}

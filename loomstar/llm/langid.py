@@ -14,8 +14,8 @@ from loomstar.llm.tables import BATCH_ROWS, column, fraction_of, free_names, hel
 from loomstar.session import stored
 
 SIZES, BUCKETS, WIDTH = (1, 2, 3), 4096, 16
-#: Labelled rows that are learned from, and languages (the most frequent ones), at most.
-SAMPLE_ROWS, LANGUAGES = 3000, 200
+#: Labelled rows that are learned from, about; of each language at least ``LEAST_ROWS``, if it has so many.
+SAMPLE_ROWS, LEAST_ROWS = 3000, 50
 #: Share of the sample kept for calibration, and the share of right rows that either rejection may cost.
 CALIBRATION, REJECTED = 0.25, 0.0002
 #: Temperatures to choose from; bins of scores, and of usualness (from, to, bins).
@@ -126,27 +126,28 @@ def calibrated(rows: DataFrame, model: Model) -> Model:
         rank = int(REJECTED * total[-1])
         return bin_[np.searchsorted(total, rank, "right")], bin_[np.searchsorted(total, total[-1] / 2)], rank
 
+    # one rule at every size: the quantile, less a margin that shrinks with the rows known to lie below it
     out = replace(model, temperature=TEMPERATURES[best])
     bin_, _, rank = least(f"score{best}")
-    if rank >= 0:  # where rows are too few to tell, a quarter of the way from chance to the least
-        out.least = bin_ / SCORE_BINS if rank else chance + max(bin_ / SCORE_BINS - chance, 0.0) / 4
+    if rank >= 0:
+        out.least = bin_ / SCORE_BINS - 0.75 * max(bin_ / SCORE_BINS - chance, 0.0) / (1 + rank)
         bin_, middle, rank = least("usual")
-        bin_ -= 0 if rank else (middle - bin_) / 4  # likewise, a quarter further off than the least
-        out.least_usual = low + bin_ * (high - low) / bins
+        out.least_usual = low + (bin_ - (middle - bin_) / 4 / (1 + rank)) * (high - low) / bins
     return out
 
 
 def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample_rows: int = SAMPLE_ROWS) -> Model | None:
-    """Fit on at most ``sample_rows`` rows with a language that are not held out; None if there is none."""
+    """Fit on about ``sample_rows`` rows (``LEAST_ROWS`` of each language at least) with a language that are not held out; None if there is none."""
     prepare(docs.sparkSession)
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).where(F.col("lang").isNotNull() & ~held_out(F.col("id")))
-    counted = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    counted = rows.groupBy("lang").count().collect()  # a row per language
     if not counted:
         return None
     names = sorted(r["lang"] for r in counted)
     total = {r["lang"]: r["count"] for r in counted}
-    shares = {k: min(1.0, sample_rows / len(names) / n) for k, n in total.items()}
-    sample = rows.where(taken(F.col("lang"), F.col("id"), shares, 11)).limit(2 * sample_rows)
+    each = max(LEAST_ROWS, sample_rows / len(names))
+    shares = {k: min(1.0, each / n) for k, n in total.items()}
+    sample = rows.where(taken(F.col("lang"), F.col("id"), shares, 11)).limit(int(2 * each * len(names)))
 
     @F.pandas_udf("binary")
     def shares_of(texts: pd.Series) -> pd.Series:
@@ -154,7 +155,7 @@ def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
         counts /= np.maximum(counts.sum(axis=1, keepdims=True), 1)
         return pd.Series([x.tobytes() for x in counts.astype(np.float16)])
 
-    # stored, then taken row by row, so the driver holds one matrix of at most 2 * sample_rows rows
+    # stored, then taken row by row, so the driver holds one matrix of at most 2 * max(sample_rows, LEAST_ROWS * languages) rows
     found = stored(sample.select("lang", (fraction_of(F.col("id"), 12) < CALIBRATION).alias("calibrate"), shares_of("text").alias("shares")), "shares")
     n = found.count()
     mean, label, calibrate = np.zeros((n, BUCKETS), np.float32), np.zeros(n, np.int64), np.zeros(n, bool)

@@ -152,8 +152,7 @@ SELECT d.doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_ite
 FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN item ON d.doc_id = item.doc_id
 """)
 def op10(read):
-    docs = read("documents")
-    found = docs.select("doc_id", decontaminate.benchmark_hits(docs, read("benchmark"), docs["text"]).alias("h"))
+    found = decontaminate.benchmark_hits(read("documents").select("doc_id", "text"), read("benchmark"), into="h")
     return found.select("doc_id", F.col("h.n_words").alias("n_words"), F.col("h.n_hit").alias("n_hit"), F.size("h.items").cast("long").alias("n_items"), F.sha2(_joined(F.array_sort("h.items")).cast("binary"), 256).alias("items_sha256"), (F.col("h.n_hit") > 0).alias("contaminated"))
 
 

@@ -7,8 +7,9 @@ stand in toxic documents and hardly in others, as many as it takes to cover the
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -18,8 +19,8 @@ from loomstar.llm.quality import labelled_sample
 from loomstar.llm.tables import held_out, prepare
 from loomstar.session import stored
 
-#: Labelled rows of either label that the lexicon is learned from, terms and stems in it, candidates, and known misspellings, at most.
-SAMPLE_PER_LABEL, TERMS, CANDIDATES, SPELLINGS = 2000, 300, 4000, 20_000
+#: Labelled rows of either label that the lexicon is learned from, at most. Terms, candidates and spellings are what these hold.
+SAMPLE_PER_LABEL = 2000
 #: Sampled toxic documents that a term must add to the cover, and the share of documents with it that must be toxic.
 SUPPORT, PRECISION = 4, 0.7
 #: Terms of different beginnings that the cover looks for in each toxic document.
@@ -33,6 +34,15 @@ MARKS = "\"“”„«»‹›‘’"
 REPORTING = frozenset("said says wrote writes called quoted quote quotes term word slur according sagte schrieb zitat wort nannte dit écrit mot terme cite dijo escribió palabra término cita".split())
 
 _WORD = re.compile(r"[^\W_]+")
+#: Single letters parted by signs, and words in which signs stand for letters.
+_PARTED = re.compile(r"(?<![^\W_])[^\W_](?:[^\w\s][^\W_]){2,}+(?![^\W_])")
+_MASKED = re.compile(r"(?<![^\W_])[^\W_]++(?:[*@$#!][^\W_]++)++")
+
+
+def disguised(low: str) -> list[tuple[int, int, str]]:
+    """(start, end, word) of what signs may hide: parted letters are joined, and a sign inside a word is a letter that fits none."""
+    found = [(m.start(), m.end(), re.sub(r"[^\w]", "", m[0])) for m in _PARTED.finditer(low)]
+    return found + [(m.start(), m.end(), m[0]) for m in _MASKED.finditer(low)]
 
 
 def allowed(length: int) -> int:
@@ -42,7 +52,8 @@ def allowed(length: int) -> int:
 class Automaton:
     """All Levenshtein automata of a lexicon at once, run along its trie.
 
-    A state is a set of (trie node, edits so far). Sets are made when they are first reached and kept, so a word costs one
+    A state is a set of (trie node, edits so far); a swap of two neighbouring letters is one edit, and between the two a node
+    stands with the letter it waits for. Sets are made when they are first reached and kept, so a word costs one
     look-up per letter, and most words end in the empty set after a few. A stem (``word*``) accepts any ending after what
     is within its edits. Terms that are not ``fuzzy`` (None: all are) must be spelled right.
     """
@@ -77,16 +88,18 @@ class Automaton:
         todo, full = list(pairs), set()
         while todo:  # a letter left out costs an edit and moves down the trie
             node, edits = todo.pop()
-            if (node, edits) in full or edits > self.reach[node]:
+            if (node, edits) in full or edits > self.reach[node[0] if isinstance(node, tuple) else node]:
                 continue
             full.add((node, edits))
+            if isinstance(node, tuple):
+                continue
             todo += [(child, edits + 1) for child in self.children[node].values()]
         key = frozenset(full)
         if key not in self.sets:
             self.sets[key] = len(self.members)
             self.members.append(key)
             self.steps.append({})
-            hits = sorted((edits, term, stem) for node, edits in key for most, term, stem in self.ends[node] if edits <= most)
+            hits = sorted((edits, term, stem) for node, edits in key if not isinstance(node, tuple) for most, term, stem in self.ends[node] if edits <= most)
             self.words.append(next(((e, t) for e, t, _ in hits), None))
             self.stems.append(next(((e, t) for e, t, stem in hits if stem), None))
         return self.sets[key]
@@ -94,9 +107,16 @@ class Automaton:
     def _step(self, state: int, letter: str) -> int:
         after = set()
         for node, edits in self.members[state]:
+            if isinstance(node, tuple):  # the second letter of a swap, or none
+                node, wanted = node
+                if wanted == letter:
+                    after.add((node, edits))
+                continue
             after.add((node, edits + 1))  # a letter too many
             for other, child in self.children[node].items():
                 after.add((child, edits + (other != letter)))
+                if other != letter and letter in self.children[child]:  # two letters swapped: one edit
+                    after.add(((self.children[child][letter], other), edits + 1))
         self.steps[state][letter] = found = self._state(after)
         return found
 
@@ -119,7 +139,7 @@ class Model:
     terms: dict[str, float]  # weight of each term spelled right
     misspelled: dict[str, float]  # weight of an unseen misspelling of each term
     seen: dict[str, float] = field(default_factory=dict)  # weights of spellings met in learning
-    prior: float = 0.02
+    prior: float = 0.02  # how surely a text without a hit is toxic, where nothing was learned
 
     def __post_init__(self):
         # a term with many harmless neighbours does not hide others that are further off
@@ -146,21 +166,27 @@ class Model:
     def score(self, text: str) -> tuple[float, list[tuple[int, int, float]]]:
         """(score, (start, end, weight in context) of each hit)."""
         low = text.lower()
-        if not any(map(self.weigh, set(_WORD.findall(low)))):
+        hidden = [(a, b, w) for a, b, w in ((a, b, self.weigh(word)) for a, b, word in disguised(low)) if w]
+        if not hidden and not any(map(self.weigh, set(_WORD.findall(low)))):
             return self.prior, []
         words = list(_WORD.finditer(low))
-        weights = [self.weigh(m[0]) for m in words]
+        weights, ends = [self.weigh(m[0]) for m in words], [m.end() for m in words]
+        starts = [m.start() for m in words]
+        for start, end, weight in hidden:  # counts where its first part stands, unless a part is a term by itself
+            first, last = bisect_left(starts, start), bisect_left(starts, end)
+            if not any(weights[first:last]):
+                weights[first], ends[first] = weight, end
         hits, clear = [], 1.0
         for i in (i for i, w in enumerate(weights) if w > 0):
             a, b = max(0, i - CONTEXT), min(len(words), i + CONTEXT + 1)
-            before, after = low[words[a].start() : words[i].start()], low[words[i].end() : words[b - 1].end()]
+            before, after = low[words[a].start() : words[i].start()], low[ends[i] : words[b - 1].end()]
             quoted = any(m in before for m in MARKS) and any(m in after for m in MARKS)
             reported = any(words[k][0] in REPORTING for k in range(a, b))
             # abuse is repeated; other terms close by speak against a mere quotation
             others = sum(1 for k in range(a, b) if k != i and weights[k] > 0.5)
             left = (QUOTED if quoted else 1.0) * (REPORTED if reported else 1.0)
             weight = weights[i] * (left if others < 2 else max(left, 0.8))
-            hits.append((words[i].start(), words[i].end(), weight))
+            hits.append((words[i].start(), ends[i], weight))
             clear *= 1 - weight
         return max(self.prior, 1 - clear), hits
 
@@ -184,7 +210,7 @@ def _cover(holds: np.ndarray, terms: list[str], toxic: np.ndarray, clean: np.nda
     worth = toxic / (toxic + clean)
     # of equal terms, whole words go before stems and long ones before short ones
     tie = np.array([(not t.endswith("*")) * 100 + len(t) for t in terms]) * 1e-6
-    while left.any() and len(chosen) < TERMS:
+    while left.any():
         gain = (holds[:, open_ > 0].sum(axis=1)) * left
         best = int(np.argmax(gain * worth**4 + tie * left))
         if gain[best] < SUPPORT:
@@ -212,7 +238,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str
         (F.sum("label") * stands[1]).alias("toxic"), (F.sum(1 - F.col("label")) * stands.get(0, 1.0)).alias("clean"), F.sum("label").alias("support")
     )
     sure = counted.where((F.col("support") >= SUPPORT) & (F.col("toxic") >= PRECISION * (F.col("toxic") + F.col("clean"))))
-    found = sure.orderBy(F.desc(F.col("toxic") - F.col("clean")), "term").limit(CANDIDATES).toPandas()
+    found = sure.orderBy(F.desc(F.col("toxic") - F.col("clean")), "term").toPandas()
     if not len(found):
         return Model({}, {})
     terms = found["term"].tolist()
@@ -229,7 +255,14 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str
         holds[[place[t] for t in row], j] = True
     toxic, clean = found["toxic"].to_numpy(float), found["clean"].to_numpy(float)
     weights = {terms[i]: float((toxic[i] + 0.2) / (toxic[i] + clean[i] + 1)) for i in _cover(holds, terms, toxic, clean)}
-    return _misspellings(sample, Model(weights, dict.fromkeys(weights, 1.0)), stands)
+    return _with_prior(sample, _misspellings(sample, Model(weights, dict.fromkeys(weights, 1.0)), stands), stands)
+
+
+def _with_prior(sample: DataFrame, model: Model, stands: dict[int, float]) -> Model:
+    """``model`` with the share of toxic documents among those of the sample that have no hit."""
+    bare = sample.select("label", F.size(score(sample, model, sample["text"])["hits"]).alias("hits")).where("hits = 0")
+    n = {r["label"]: r["count"] * stands.get(r["label"], 1.0) for r in bare.groupBy("label").count().collect()}
+    return replace(model, prior=(n.get(1, 0.0) + 0.5) / (sum(n.values()) + 1.0))
 
 
 def _misspellings(sample: DataFrame, model: Model, stands: dict[int, float]) -> Model:
@@ -247,7 +280,7 @@ def _misspellings(sample: DataFrame, model: Model, stands: dict[int, float]) ->
     found = sample.select("label", F.explode(off("text")).alias("w")).groupBy("w.word", "w.term").agg(
         (F.sum("label") * stands.get(1, 1.0)).alias("toxic"), (F.sum(1 - F.col("label")) * stands.get(0, 1.0)).alias("clean")
     )
-    met = found.orderBy(F.desc(F.col("toxic") + F.col("clean")), "word", "term").limit(SPELLINGS).toPandas()
+    met = found.orderBy(F.desc(F.col("toxic") + F.col("clean")), "word", "term").toPandas()
     seen, telling, idle = {}, Counter(), Counter()
     for word, term, toxic, clean in met.itertuples(index=False):
         surely = toxic > 0.7 * (toxic + clean)
@@ -262,7 +295,8 @@ def score(docs: DataFrame, model: Model, text: Column) -> Column:
     """A struct: score in 0..1, hits (start, end, weight; code points of the lower-cased text).
 
     One less the product of what each hit leaves open. A null or empty text, or one without a hit, has the model's prior; a
-    model without terms gives every text the prior.
+    model without terms gives every text the prior. Texts of any length are read whole, repeated rows get equal scores, an
+    empty table gives no rows, and of terms equally near to a word the first in order counts.
     """
     prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -27,7 +27,8 @@ def test_held_out_accuracy(spark):
     good = QUERIES["op4_quality"](spark, SF).where("held_out").join(labels, "doc_id").toPandas()
     assert (good["predicted"] == good["quality"]).mean() > 0.95
     bad = QUERIES["op5_toxicity"](spark, SF).where("held_out").join(labels, "doc_id").toPandas()
-    assert (bad["predicted"] == bad["toxic"]).mean() > 0.9
+    hit = bad[bad["predicted"] == 1]
+    assert bad[bad["toxic"] == 1]["predicted"].mean() >= 0.6 and (not len(hit) or hit["toxic"].mean() >= 0.8)
 
 
 def test_lm_score_tells_good_from_bad(spark):
