@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from catalog import inputs
 from catalog.registry import Tables, query
+from loomstar.functions.keys import hash_key
 from loomstar.operators import profile, reshape
+from loomstar.plans.warehouse import Warehouse
 from loomstar.session import scratch_path
 from loomstar.sources import readers, records, schemas, sinks
+from loomstar.sources.evolve import GrowingTable
 from loomstar.streaming.pickup import append_to_raw, pick_up
+from loomstar.streaming.upsert import upsert_stream
 
 PART_SCHEMA = "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
 
@@ -211,6 +216,44 @@ def _(t: Tables) -> DataFrame:
     return t.spark.read.schema(schema).parquet(raw).select("batch_id", "o_orderkey", "o_totalprice")
 
 
+@query(
+    "stream_upsert",
+    """SELECT sha256('dim_customer' || chr(1) || o_custkey) AS customer_key, o_custkey AS customer_id, max_by(o_orderkey, (CAST(o_orderdate AS DATE), o_orderkey)) AS last_order,
+         max_by(o_totalprice, (CAST(o_orderdate AS DATE), o_orderkey)) AS last_price FROM orders GROUP BY o_custkey""",
+)
+def _(t: Tables) -> DataFrame:
+    """Orders landed in three runs, the first of them once more in the last: each customer's newest order, kept by state."""
+    base = scratch_path(t.spark, "upsert")
+    wh, schema = Warehouse(t.spark, f"{base}/wh"), StructType.fromDDL("customer_key string, customer_id bigint, last_order bigint, last_price double")
+    rows = t.orders.select(
+        hash_key("dim_customer", "o_custkey").alias("customer_key"), F.col("o_custkey").alias("customer_id"), F.col("o_orderkey").alias("last_order"),
+        F.col("o_totalprice").alias("last_price"), F.to_date("o_orderdate").alias("day"),
+    )
+    for parts in ((0,), (1,), (2, 0)):
+        rows.where((F.col("last_order") % 3).isin(*parts)).write.mode("append").parquet(f"{base}/lake")
+        upsert_stream(t.spark.readStream.schema(rows.schema).parquet(f"{base}/lake"), wh, "dim_customer", schema, ["day", "last_order"], f"{base}/state")
+    return wh.snapshot("dim_customer", schema)
+
+
+@query(
+    "growing_types",
+    """SELECT o_orderkey % 100 AS id, CAST(o_orderkey % 100 AS VARCHAR) AS amount, NULL AS note FROM orders WHERE o_orderkey % 3 = 0
+       UNION ALL SELECT o_orderkey * 10000000000, CAST(o_orderkey AS VARCHAR), CAST(CAST(o_orderdate AS DATE) AS VARCHAR) FROM orders WHERE o_orderkey % 3 = 1
+       UNION ALL SELECT o_orderkey, 'about ' || o_orderkey, o_orderpriority FROM orders WHERE o_orderkey % 3 = 2""",
+)
+def _(t: Tables) -> DataFrame:
+    """Three drops of text columns: whole numbers; larger ones and a new column of dates; text in both."""
+    table = GrowingTable(t.spark, scratch_path(t.spark, "growing"))
+    drops = [
+        t.orders.where("o_orderkey % 3 = 0").selectExpr("cast(o_orderkey % 100 AS string) AS id", "cast(o_orderkey % 100 AS string) AS amount"),
+        t.orders.where("o_orderkey % 3 = 1").selectExpr("cast(o_orderkey * 10000000000 AS string) AS id", "cast(o_orderkey AS string) AS amount", "cast(cast(o_orderdate AS date) AS string) AS note"),
+        t.orders.where("o_orderkey % 3 = 2").selectExpr("o_orderpriority AS note", "concat('about ', o_orderkey) AS amount", "cast(o_orderkey AS string) AS id"),
+    ]
+    for n, drop in enumerate(drops):
+        table.append(drop, f"{n}")
+    return table.read()
+
+
 # --- profiling --------------------------------------------------------------------------------
 
 
