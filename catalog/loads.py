@@ -11,10 +11,12 @@ from loomstar.operators import dedup, merge, project
 from loomstar.operators.audit import audit_row
 from loomstar.operators.stock import apply_sales, record_sales
 from loomstar.plans import movies, reviews, sales, star
+from loomstar.plans.commits import Commits
 from loomstar.plans.daily import STAR, DailyReviews
 from loomstar.plans.warehouse import Warehouse
 from loomstar.session import scratch_path, stored
 from loomstar.sources import sinks
+from loomstar.sources.bucketed import BucketedDim
 from loomstar.sources.schemas import fit, target
 
 # --- merges: customers known by the end of 1995, then everything they ordered since -----------
@@ -570,3 +572,65 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     return _backfilled(t).audit_log().select(*AUDIT_COLUMNS)
+
+
+# --- whole batches and bucketed dimensions ------------------------------------------------------
+
+
+@query(
+    "atomic_batch",
+    """SELECT 'pinned' AS view, (SELECT count(*) FROM customer WHERE c_nationkey % 2 = 0) AS members, (SELECT count(*) FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_nationkey % 2 = 0) AS facts
+       UNION ALL SELECT 'after a failure', (SELECT count(*) FROM customer), (SELECT count(*) FROM orders JOIN customer ON c_custkey = o_custkey)
+       UNION ALL SELECT 'rolled back', (SELECT count(*) FROM customer WHERE c_nationkey % 2 = 0), (SELECT count(*) FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_nationkey % 2 = 0)""",
+)
+def _(t: Tables) -> DataFrame:
+    """Two batches of two tables, a third that fails between them, and the way back; a reader stays with the first."""
+    commits = Commits(t.spark, scratch_path(t.spark, "commits"))
+
+    def load(members: DataFrame, broken: bool = False) -> None:
+        with commits.batch("load") as batch:
+            batch.put("dim_user", members)
+            if broken:
+                raise RuntimeError("lost between two tables")
+            batch.put("fact", t.orders.join(batch.table("dim_user").select("c_custkey"), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_custkey"))
+
+    load(t.customer.where("c_nationkey % 2 = 0"))
+    pinned = commits.snapshot()
+    load(t.customer)
+    try:
+        load(t.customer.limit(1), broken=True)
+    except RuntimeError:
+        after = commits.snapshot()
+    commits.roll_back(pinned.number)
+    out = None
+    for view, held in (("pinned", pinned), ("after a failure", after), ("rolled back", commits.snapshot())):
+        members = held.table("dim_user").agg(F.count(F.lit(1)).alias("n")).scalar()
+        row = held.table("fact").agg(F.lit(view).alias("view"), F.count(F.lit(1)).alias("facts")).select("view", members.alias("members"), "facts")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def _in_buckets(t: Tables, members: DataFrame) -> BucketedDim:
+    path = scratch_path(t.spark, "buckets")
+    dim = BucketedDim(t.spark, f"buckets_{path.rpartition('-')[2]}", ["part_id"], 8)
+    dim.write(members, path)
+    return dim
+
+
+@query("bucketed_lookup", "SELECT l_orderkey, l_linenumber, CASE WHEN l_partkey % 7 <> 0 THEN l_partkey * 10 END AS part_key FROM lineitem")
+def _(t: Tables) -> DataFrame:
+    """Keys from a dimension in buckets, which lacks every seventh part."""
+    dim = _in_buckets(t, t.part.where("p_partkey % 7 <> 0").selectExpr("p_partkey * 10 AS part_key", "p_partkey AS part_id", "p_name AS name"))
+    return dim.lookup(t.lineitem.select("l_orderkey", "l_linenumber", F.col("l_partkey")), "part_key", {"l_partkey": "part_id"}).drop("l_partkey")
+
+
+@query(
+    "bucketed_upsert",
+    f"""SELECT p_partkey AS part_id, CASE WHEN p_partkey % 3 = 0 THEN upper(p_name) ELSE p_name END AS name,
+          CASE WHEN p_partkey % 2 = 0 THEN DATE '2023-01-01' ELSE DATE '{BATCH}' END AS created_date, CASE WHEN p_partkey % 6 = 0 THEN DATE '{BATCH}' END AS last_updated_date
+        FROM part WHERE p_partkey % 2 = 0 OR p_partkey % 3 = 0""",
+)
+def _(t: Tables) -> DataFrame:
+    """Half of the parts in buckets, a third of all in the batch."""
+    old = t.part.where("p_partkey % 2 = 0").selectExpr("p_partkey AS part_id", "p_name AS name", "date '2023-01-01' AS created_date", "cast(NULL AS date) AS last_updated_date")
+    return _in_buckets(t, old).upserted(t.part.where("p_partkey % 3 = 0").selectExpr("p_partkey AS part_id", "upper(p_name) AS name"), ["name"], BATCH, ["name"])
