@@ -69,6 +69,16 @@ def _(t: Tables) -> DataFrame:
     return _upserted(t)
 
 
+@query("upsert_touched_files", f"WITH {MERGE_SQL} SELECT * FROM upserted")
+def _(t: Tables) -> DataFrame:
+    commits = Commits(t.spark, scratch_path(t.spark, "customers"))
+    with commits.batch("known") as batch:
+        batch.put("customer", _known(t), ["user_id"])
+    with commits.batch("orders") as batch:
+        batch.upsert("customer", _batch(t), ["user_id"], ["last_order", "last_price"], BATCH, ["created_date", "last_order"])
+    return commits.snapshot().table("customer")
+
+
 @query(
     "merge_strict",
     f"""WITH {MERGE_SQL} SELECT coalesce(b.user_id, k.user_id) AS user_id, coalesce(b.last_order, k.last_order) AS last_order,

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from loomstar.operators.merge import upsert
+from loomstar.session import stored
 from loomstar.sources.sinks import write_table
+from loomstar.sources.touched import findable, touched_files
 
 
 class Conflict(RuntimeError):
@@ -34,7 +37,7 @@ class Snapshot:
         if name not in self:
             raise KeyError(f"commit {self.number} has no table {name}")
         held = self.record["tables"][name]
-        return self.spark.read.schema(StructType.fromJson(held["schema"])).parquet(held["path"])
+        return self.spark.read.schema(StructType.fromJson(held["schema"])).parquet(*held.get("files", [held["path"]]))
 
 
 class Batch:
@@ -43,13 +46,37 @@ class Batch:
     def __init__(self, commits: Commits, before: Snapshot):
         self.commits, self.before, self.written, self.rows = commits, before, {}, {}
 
-    def put(self, name: str, df: DataFrame) -> int:
-        """Write the next version of a table into a folder of its own; returns its rows."""
+    def put(self, name: str, df: DataFrame, keys: Sequence[str] = (), files: int | None = None) -> int:
+        """Write the next version of a table into a folder of its own; returns its rows.
+
+        With ``keys`` files are ranges of keys, as many as ``files`` or as Spark finds fit, and can be told apart by them.
+        """
         path = f"{self.commits.root}/{name}/version={uuid.uuid4().hex}"
-        self.rows[name] = write_table(df, path)
+        dealt, options = findable(df, keys, files) if keys else (df, {})
+        self.rows[name] = write_table(dealt, path, options=options)
         self.written[name] = {"path": path, "schema": json.loads(df.schema.json())}
         return self.rows[name]
 
+    def upsert(self, name: str, batch: DataFrame, keys: Sequence[str], set_columns: Sequence[str], batch_date: str, order: Sequence[str] = (), unique: bool = False, files: int | None = None) -> tuple[int, int]:
+        """The table after ``merge.upsert`` of ``batch``, where only files that hold a key of the batch are written anew.
+
+        Returns how many files were replaced and how many stay where they are. All rows of a key lie in replaced files, so what
+        finds no match there is new. Rows with a null in their key are added. An empty batch replaces nothing.
+        """
+        if name in self.written:
+            raise ValueError(f"{name} is already written by this batch")
+        before, held = self.before.table(name), self.before.record["tables"][name]
+        known = stored(batch.select(*keys).dropna().distinct(), "keys")
+        gone = set(touched_files(before, known))
+        present = held.get("files") or self.commits.files_in(held["path"])
+        stay = [f for f in present if f.rpartition("/")[2] not in gone]
+        replaced = [f for f in present if f.rpartition("/")[2] in gone]
+        read = self.commits.spark.read.schema(before.schema)
+        part = read.parquet(*replaced) if replaced else self.commits.spark.createDataFrame([], before.schema)
+        self.put(name, upsert(part, batch, keys, set_columns, batch_date, order, unique), keys, files)
+        self.written[name]["files"] = stay + self.commits.files_in(self.written[name]["path"])
+        return len(replaced), len(stay)
+
     def table(self, name: str) -> DataFrame:
         """A table as this batch will leave it."""
         return Snapshot(self.commits.spark, {"number": self.before.number, "tables": self.before.record["tables"] | self.written}).table(name)
@@ -68,6 +95,11 @@ class Commits:
         self._paths = spark._jvm.org.apache.hadoop.fs.Path
         self._files = self._paths(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
 
+    def files_in(self, folder: str) -> list[str]:
+        """Data files of a version."""
+        paths = [s.getPath() for s in self._files.listStatus(self._paths(folder)) if s.isFile()]
+        return sorted(p.toString() for p in paths if not p.getName().startswith(("_", ".")))
+
     def _record_path(self, number: int) -> str:
         return f"{self.root}/_commits/{number:012d}"
 
@@ -122,17 +154,25 @@ class Commits:
         return self._write(self.snapshot().number, f"back to {number}", self.snapshot(number).record["tables"])
 
     def vacuum(self, keep: int) -> int:
-        """Drop all but the newest ``keep`` records, and folders that no kept record names. Not while a batch runs or a reader holds an older commit."""
+        """Drop all but the newest ``keep`` records, and folders (of upserted tables: files) that no kept record names; returns the folders dropped. Not while a batch runs or a reader holds an older commit."""
         known = self.numbers()
         kept = [self._read(n) for n in known[-keep:]] if keep > 0 else []
         if not kept:
             raise ValueError("keep one commit at least")
-        used, removed = {t["path"].rpartition("/")[2] for r in kept for t in r["tables"].values()}, 0
+        tables = [t for r in kept for t in r["tables"].values()]
+        whole = {t["path"].rpartition("/")[2] for t in tables if "files" not in t}
+        listed = {tuple(f.rsplit("/", 2)[1:]) for t in tables for f in t.get("files", [])}
+        used, removed = whole | {folder for folder, _ in listed}, 0
         for number in known[:-keep]:
             self._files.delete(self._paths(self._record_path(number)), False)
         for table in self._files.listStatus(self._paths(self.root)):
             if table.isDirectory() and not table.getPath().getName().startswith("_"):
                 for version in self._files.listStatus(table.getPath()):
-                    if version.getPath().getName() not in used:
+                    folder = version.getPath().getName()
+                    if folder not in used:
                         removed += bool(self._files.delete(version.getPath(), True))
+                    elif folder not in whole:
+                        for file in self.files_in(version.getPath().toString()):
+                            if (folder, file.rpartition("/")[2]) not in listed:
+                                self._files.delete(self._paths(file), False)
         return removed

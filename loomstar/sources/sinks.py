@@ -14,11 +14,11 @@ from loomstar.sources.schemas import fit
 MODES = {"replace": "overwrite", "append": "append", "fail": "errorifexists"}
 
 
-def write_table(df: DataFrame, path: str, mode: str = "fail", partition_by: Sequence[str] = ()) -> int:
+def write_table(df: DataFrame, path: str, mode: str = "fail", partition_by: Sequence[str] = (), options: Mapping[str, str] | None = None) -> int:
     """Write Parquet and return the number of rows written, counted by the write itself."""
     seen = Observation()
     observed = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    writer = observed.write.mode(MODES[mode]).option("partitionOverwriteMode", "static")
+    writer = observed.write.mode(MODES[mode]).option("partitionOverwriteMode", "static").options(**(options or {}))
     writer.partitionBy(*partition_by).parquet(path)
     return seen.get["rows"]
 
