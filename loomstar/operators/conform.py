@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -40,9 +40,11 @@ def misfits(df: DataFrame, schema: Mapping[str, str]) -> DataFrame:
     return counts.unpivot([], [F.col(f"`{c}`") for c in schema], "column_name", "misfit_count")
 
 
-def fill_by_type(df: DataFrame) -> DataFrame:
-    """Nulls (and NaN) to 0, 'NA' or False according to each column's type."""
-    return df.na.fill(NUMBER_DEFAULT).na.fill(TEXT_DEFAULT).na.fill(FLAG_DEFAULT)
+def fill_by_type(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Nulls (and NaN) to 0, 'NA' or False according to each column's type; of all columns or those named."""
+    for default in (NUMBER_DEFAULT, TEXT_DEFAULT, FLAG_DEFAULT):
+        df = df.na.fill(default, None if columns is None else list(columns))
+    return df
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

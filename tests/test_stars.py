@@ -71,3 +71,37 @@ def test_facts_know_their_serial_key(spark):
 
     fact = build_fact(spark.range(20).withColumn("k", F.lit(1)), {"amount": F.col("id")}, ["k"], serial="fact key (PLN)")
     assert sorted(r[0] for r in fact.collect()) == list(range(1, 21))
+
+
+REVIEW = ("p1", "Pen", "c", "a", "i", "l", "4", None, "₹10", "₹10", "5%")
+
+
+def _reviews(spark, lists):
+    import datetime as dt
+
+    rows = [(f"p{p}", *REVIEW[1:], *items, dt.date(2024, 1, 1)) for p, items in lists]
+    return spark.createDataFrame(rows, REVIEW_EXTRACT)
+
+
+def test_staging_without_duplicates_is_not_compared(spark, plan):
+    staging = reviews.stage_reviews(_reviews(spark, [(p, ("u1,u2", "A,B", "r1,r2", "x,x")) for p in range(20)]))
+    assert staging.count() == 40
+    staging.collect()
+    assert "HashAggregate" not in plan(staging).split("Initial Plan")[0]
+
+
+def test_staging_drops_duplicates_within_and_across_wide_rows(spark, rows):
+    same = [(1, ("u1,u1", "A,A", "r1,r1", "x,x")), (2, ("u1,u2", "A,B", "r1,r2", "x,y")), (2, ("u2,u3", "B,C", "r2,r3", "y,z")), (3, (None, None, None, None))]
+    staging = reviews.stage_reviews(_reviews(spark, same))
+    assert {tuple(r) for r in staging.select("product_id", "user_id").collect()} == {("p1", "u1"), ("p2", "u1"), ("p2", "u2"), ("p2", "u3"), ("p3", None)}
+    assert staging.distinct().count() == staging.count() == 5
+
+
+def test_movie_staging_compares_rows_as_filled(spark, plan):
+    columns = "Poster_Link string, Series_Title string, Released_Year string, Certificate string, Runtime string, Genre string, IMDB_Rating string, Overview string, Meta_score double, Director string, No_of_Votes string, Gross string, Star1 string, Star2 string, Star3 string, Star4 string"
+    row = lambda t, cert, genre, stars: ("p", t, "2001", cert, "1 min", genre, "7", "o", 1.0, "D", "1", "2", *stars)
+    alike = [row("a", None, "X, Y", "stuv"), row("a", "NA", "Y", "stuw"), row("b", "U", "X, X", ["s", None, "NA", "t"]), row("c", "U", None, "stuv")]
+    staging = movies.stage_movies(spark.createDataFrame(alike, columns))
+    assert staging.count() == staging.distinct().count() == 9 + 3 + 4
+    alone = movies.stage_movies(spark.createDataFrame([row(f"t{i}", "U", "X, Y", "stuv") for i in range(20)], columns))
+    assert len(alone.collect()) == 160 and "HashAggregate" not in plan(alone).split("Initial Plan")[0]
