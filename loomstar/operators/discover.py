@@ -11,6 +11,8 @@ from loomstar.functions import clean
 
 #: Standard error of the distinct-count sketches, and how many of them an estimate must lie below the row count to rule a set out.
 ERROR, MARGIN = 0.02, 6
+#: One hash value in so many is looked at, over all rows, before a set is grouped in full.
+SLICES = 64
 
 
 def _named(columns: Sequence[str]) -> Column:
@@ -23,8 +25,9 @@ def unique_sets(df: DataFrame, columns: Sequence[str] | None = None, most: int =
     """Minimal sets of up to ``most`` columns on which no two rows agree, smaller ones first, in the order of the columns.
 
     Level by level: a set is looked at only if none of its subsets is unique. One pass of sketches over all sets of a level
-    rules out those with far fewer distinct values than rows; one exact pass, grouping hashes of what is left, decides. Nulls
-    are equal to each other. A table of at most one row has the single columns.
+    rules out those with far fewer distinct values than rows; one pass over a slice of the hashes rules out those that occur
+    twice there, as most that are not unique do; one exact pass, grouping hashes of what is left, decides. Nulls are equal to
+    each other. A table of at most one row has the single columns.
     """
     columns = list(columns or df.columns)
     rows = df.select(*[F.col(f"`{c}`") for c in columns])
@@ -37,13 +40,25 @@ def unique_sets(df: DataFrame, columns: Sequence[str] | None = None, most: int =
         likely = [s for i, s in enumerate(sets) if sketched[i] >= total * (1 - MARGIN * ERROR)]
         if not likely:
             continue
-        told = rows.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), _named(s).alias("v")) for i, s in enumerate(likely)])).alias("s"))
-        twice = told.groupBy("s.i", "s.v.h1", "s.v.h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("i").distinct()
-        refuted = {r["i"] for r in twice.collect()}  # numbers of sets, not rows
-        found += [s for i, s in enumerate(likely) if i not in refuted]
+        twice = _refuted(rows, likely, SLICES)
+        likely = [s for s in likely if s not in twice]
+        refuted = _refuted(rows, likely) if likely else set()
+        found += [s for s in likely if s not in refuted]
     return found
 
 
+def _refuted(rows: DataFrame, sets: Sequence[tuple[str, ...]], slices: int = 1) -> set[tuple[str, ...]]:
+    """Those of ``sets`` with a value that occurs twice, among the hashes of one slice of ``slices``."""
+    told = rows.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), _named(s).alias("v")) for i, s in enumerate(sets)])).alias("s"))
+    told = told.select("s.i", "s.v.h1", "s.v.h2")
+    if slices > 1:
+        told = told.where(F.pmod("h1", F.lit(slices)) == 0)
+    else:  # nearly all values differ: to group them ahead of the shuffle as well would only fill memory
+        told = told.repartition("i", "h1", "h2")
+    twice = told.groupBy("i", "h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("i").distinct()
+    return {sets[r["i"]] for r in twice.collect()}  # numbers of sets, not rows
+
+
 def _length(column: str, sep: str | None) -> Column:
     items = F.col(f"`{column}`") if sep is None else clean.pieces(F.col(f"`{column}`"), sep)
     return F.greatest(F.coalesce(F.size(items), F.lit(1)), F.lit(1))

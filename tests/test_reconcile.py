@@ -67,3 +67,16 @@ def test_list_groups(spark):
     assert discover.list_groups(df, ["a"]) == [["a"]] and discover.list_groups(df.limit(0), ["a", "c"]) == [["a", "c"]]
     arrays = df.select(F.split("a", ",").alias("a"), F.split("c", ",").alias("c"))
     assert discover.list_groups(arrays, ["a", "c"], sep=None) == [["a"], ["c"]]
+
+
+def test_sets_that_are_not_unique_are_not_grouped_in_full(spark, monkeypatch):
+    whole, refuted = [], discover._refuted
+
+    def seen(rows, sets, slices=1):
+        whole.extend(sets if slices == 1 else ())
+        return refuted(rows, sets, slices)
+
+    monkeypatch.setattr(discover, "_refuted", seen)
+    df = spark.range(20000).selectExpr("id", "id - if(id % 20 = 0, 1, 0) AS nearly")
+    assert discover.unique_sets(df, most=2) == [("id",)]
+    assert whole == [("id",)]
