@@ -1,8 +1,8 @@
 """Records that span lines, read by many tasks: where a record begins is told by prefix sums over the pieces of a file.
 
 A file is read in pieces, by as many tasks as it has splits. Whether a piece begins inside quotes, and how deep inside brackets,
-depends on all pieces before it, but only through a sum: each split adds up its own pieces, the sums of the splits are added
-up along the file (one row per split), and each split goes on from there. Pieces of one record are then joined and parsed.
+depends on all pieces before it, but only through a sum: each run of a split's pieces is added up, the sums of the runs are added
+up along the file (one row per run), and each run goes on from there. Pieces of one record are then joined and parsed.
 A piece that is a record by itself, as most are, is not moved again.
 """
 
@@ -18,34 +18,40 @@ from loomstar.sources.readers import BAD
 _QUOTED = r'"(?:[^"\\]|\\.)*+"?'
 _REST_OF_QUOTED = r'^(?:[^"\\]|\\.)*+"?'
 
-_PLACE = ["_file", "_split"]
+# Pieces that are added up in one go, as a power of two: a split is cut into such runs. Runs that a task gets, about.
+_RUN_BITS, _TASK_RUNS = 14, 32
+_PLACE = ["_file", "_split", "_run"]
 
 
 def _pieces(spark: SparkSession, path: str, separator: str) -> DataFrame:
-    """_piece (without the separator behind it), _file, _split, _at (order within a split)."""
+    """_piece (without the separator behind it), _file, _split, _at (order within a split), _run (rising with it: the next pieces of a split)."""
     text = spark.read.option("lineSep", separator).text(path)
     where = text.metadataColumn("_metadata")
-    return text.select(F.col("value").alias("_piece"), where["file_path"].alias("_file"), where["file_block_start"].alias("_split"), F.monotonically_increasing_id().alias("_at"))
+    at = text.select(F.col("value").alias("_piece"), where["file_path"].alias("_file"), where["file_block_start"].alias("_split"), F.monotonically_increasing_id().alias("_at"))
+    return at.withColumn("_run", F.shiftright("_at", _RUN_BITS))
 
 
-def _ahead(pieces: DataFrame, value: Column, name: str) -> DataFrame:
+def _ahead(pieces: DataFrame, value: Column, name: str, placed: bool = False) -> DataFrame:
     """``pieces`` with the sum of ``value`` over all pieces of the file before each.
 
-    The one window that runs along a whole file has a row per split, that is per 128 MB or so.
+    The one window that runs along a whole file has a row per run of a split. A task sorts and adds up some runs, whose number does
+    not grow with the split or the file. ``placed`` says that the pieces lie by their runs already.
     """
     sums = stored(pieces.groupBy(*_PLACE).agg(F.sum(value).alias("_sum")), "splits")
-    before = F.coalesce(F.sum("_sum").over(Window.partitionBy("_file").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    before = F.coalesce(F.sum("_sum").over(Window.partitionBy("_file").orderBy("_split", "_run").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     base = sums.select(*_PLACE, before.alias("_base"))
     own = Window.partitionBy(*_PLACE).orderBy("_at")
+    if not placed:
+        pieces = pieces.repartition(1 + sums.count() // _TASK_RUNS, *_PLACE)
     running = F.coalesce(F.sum(value).over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return pieces.withColumn(name, running).join(base, _PLACE).withColumn(name, F.col(name) + F.col("_base")).drop("_base")
 
 
 def _joined(pieces: DataFrame, starts: Column, separator: str) -> DataFrame:
     """_file, _number (from 0), _record: pieces from each that ``starts`` a record to the next, joined as they stood in the file."""
-    marked = _ahead(pieces.withColumn("_starts", starts.cast("int")), F.col("_starts"), "_before").withColumn("_number", F.col("_before") + F.col("_starts") - 1)
+    marked = _ahead(pieces.withColumn("_starts", starts.cast("int")), F.col("_starts"), "_before", placed=True).withColumn("_number", F.col("_before") + F.col("_starts") - 1)
     follows = F.lead("_starts").over(Window.partitionBy(*_PLACE).orderBy("_at"))
-    # the last piece of a split cannot tell what the next one holds
+    # the last piece of a run cannot tell what the next one holds
     told = stored(marked.withColumn("_alone", (F.col("_starts") == 1) & (F.coalesce(follows, F.lit(0)) == 1)), "pieces")
     alone = told.where("_alone").select("_file", "_number", F.col("_piece").alias("_record"))
     parts = told.where("NOT _alone AND _number >= 0").groupBy("_file", "_number").agg(F.sort_array(F.collect_list(F.struct("_split", "_at", "_piece"))).alias("_parts"))

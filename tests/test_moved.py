@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from loomstar.operators import merge
 from loomstar.plans.daily import _differing, _digests
 from loomstar.plans.warehouse import Warehouse
+from loomstar.sources import records
 
 DAY = "2024-01-02"
 
@@ -45,3 +46,18 @@ def test_digests_tell_rows_apart(spark, rows):
     old = make([("1", None, "x", None), ("2", "x", None, None), ("3", "a", "b", None), ("4", "a", "b", None), (None, "q", "q", None)])
     new = make([("1", "x", None, None), ("2", "x", None, None), ("3", "ab", "", None), ("5", "a", "b", None), (None, "r", "q", None)])
     assert rows(_differing(_digests(old, "id"), _digests(new, "id"), "id")) == [("1",), ("3",), ("4",), ("5",)]
+
+
+def test_a_split_is_added_up_in_runs(spark, rows, tmp_path, monkeypatch):
+    text = "id,note\n" + "".join(f'{i},"a\n""{i}""\n\nb"\n' if i % 3 else f"{i},plain\n" for i in range(200))
+    (tmp_path / "a.csv").write_text(text)
+    whole = rows(records.csv_records(spark, str(tmp_path), "id long, note string")[0])
+    monkeypatch.setattr(records, "_RUN_BITS", 2)
+    monkeypatch.setattr(records, "_TASK_RUNS", 5)
+    good, bad = records.csv_records(spark, str(tmp_path), "id long, note string")
+    assert rows(good) == whole and len(whole) == 200 and bad.isEmpty()
+    pieces = records._pieces(spark, str(tmp_path), "\n")
+    assert pieces.groupBy(*records._PLACE).count().agg(F.max("count")).first()[0] <= 4
+    placed = records._ahead(pieces, F.lit(1), "_n")
+    assert placed.groupBy(F.spark_partition_id()).count().count() > 10
+    assert placed.where("_n >= 0").select("_n").distinct().count() == pieces.count()
