@@ -88,7 +88,9 @@ def build_dim(
     else:
         needed = [*names, *[c for c in order if isinstance(c, str) and c not in names]]
         source_key = [c for c, n in names.items() if n in business_key]
-        rows = first(project.subset(staging, needed), source_key, list(order) or list(names))
+        rows = project.subset(staging, needed)
+        # equal rows are one row to an order by the whole row; put together in the map tasks, they need no sorting
+        rows = first(rows if order else rows.distinct(), source_key, list(order) or list(names))
         members = project.subset(rows, list(names), names)
     if hash_namespace is not None:
         if existing is not None:

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomstar.operators import merge
+from loomstar.plans import star
 from loomstar.plans.daily import _differing, _digests
 from loomstar.plans.warehouse import Warehouse
 from loomstar.sources import records
@@ -48,6 +49,12 @@ def test_digests_tell_rows_apart(spark, rows):
     assert rows(_differing(_digests(old, "id"), _digests(new, "id"), "id")) == [("1",), ("3",), ("4",), ("5",)]
 
 
+def test_equal_rows_are_put_together_before_they_are_sorted(spark, plan):
+    staging = spark.range(100).selectExpr("cast(id % 5 AS string) AS t", "cast(id % 10 AS string) AS o")
+    text = plan(star.build_dim(staging, ["t", "o"], ["t"], "key", hash_namespace="dim"))
+    assert "HashAggregate" in text[text.rindex("Sort"):]
+
+
 def test_a_split_is_added_up_in_runs(spark, rows, tmp_path, monkeypatch):
     text = "id,note\n" + "".join(f'{i},"a\n""{i}""\n\nb"\n' if i % 3 else f"{i},plain\n" for i in range(200))
     (tmp_path / "a.csv").write_text(text)
