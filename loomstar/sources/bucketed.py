@@ -43,4 +43,4 @@ class BucketedDim:
 
     def upserted(self, batch: DataFrame, set_columns: Sequence[str], batch_date: str, order: Sequence[str] = (), unique: bool = False) -> DataFrame:
         """The table after an upsert of ``batch`` by its keys: what ``merge.upsert`` gives."""
-        return upsert(self.read().hint("merge"), batch, self.keys, set_columns, batch_date, order, unique)
+        return upsert(self.read().hint("merge"), batch, self.keys, set_columns, batch_date, order, unique, parts=self.buckets)

@@ -1,13 +1,17 @@
 """What wide loads move: rows that meet no others stay where they are."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
-from loomstar.operators import merge
-from loomstar.plans import star
-from loomstar.plans.daily import _differing, _digests
+from loomstar.operators import merge, reshape
+from loomstar.plans import reviews, star
+from loomstar.plans.daily import STAR, DailyReviews, _differing, _digests
 from loomstar.plans.warehouse import Warehouse
+from loomstar.session import stored
 from loomstar.sources import records
+from loomstar.sources.schemas import REVIEW_EXTRACT, target
 
 DAY = "2024-01-02"
 
@@ -68,3 +72,56 @@ def test_a_split_is_added_up_in_runs(spark, rows, tmp_path, monkeypatch):
     placed = records._ahead(pieces, F.lit(1), "_n")
     assert placed.groupBy(F.spark_partition_id()).count().count() > 10
     assert placed.where("_n >= 0").select("_n").distinct().count() == pieces.count()
+
+
+ORDER = ["product_id", "product_name", "review_id", "user_id", "user_name", "review_title"]
+REVIEW = ("c", "a", "i", "l", "4", None, "₹10", "₹10", "5%")
+
+
+def extract(spark, *lines):
+    """Wide review rows from (product, name, users, names, reviews, titles), all of one day."""
+    return spark.createDataFrame([(p, n, *REVIEW, *lists, dt.date(2024, 1, 1)) for p, n, *lists in lines], REVIEW_EXTRACT)
+
+
+def test_lists_without_repeats_are_unpacked_in_one_pass(spark, plan):
+    staging = reviews.stage_reviews(extract(spark, *[(f"p{i}", "Pen", "u1,u2", "A,B", "r1,r2", "x,x") for i in range(20)]))
+    assert len(staging.collect()) == 40
+    assert plan(staging).split("Initial Plan")[0].count("Generate inline") == 1
+
+
+@pytest.mark.parametrize("mode", ["strict", "pad"])
+def test_equal_items_of_one_row_come_out_once(spark, rows, mode):
+    lists = [("k", ["x", "x", None, "y", None], ["1", "1", "2", "1", "2"]), ("m", None, ["5"]), ("n", None, None), ("o", ["b", "a"], ["1", "1"])]
+    lists += [("q", ["a", "a", "a"], ["1"])] if mode == "pad" else []
+    df = spark.createDataFrame(lists, "id string, a array<string>, b array<string>")
+    found = reshape.explode_parallel(df, ["a", "b"], mode, distinct=True)
+    assert rows(found) == rows(reshape.explode_parallel(df, ["a", "b"], mode).distinct()) and found.columns == df.columns
+
+
+def test_only_users_of_several_names_are_put_in_order(spark, plan, rows, tmp_path):
+    load = DailyReviews(Warehouse(spark, str(tmp_path)), ORDER)
+    one = stored(load.extract(extract(spark, ("p1", "Pen", "u1,u2", "A,B", "r1,r2", "x,y"), ("p2", "Ink", "u1", "A", "r3", "z")), DAY), "staged")
+    batch = load.user_batch(one)
+    assert rows(batch, "user_id", "user_name") == [("u1", "A"), ("u2", "B")]
+    batch.collect()
+    assert "EmptyRelation Join LeftSemi" in plan(batch).split("Initial Plan")[0]  # no staged row is read for its order
+    several = load.extract(extract(spark, ("p1", "Pen", "u1,u2", "A,B", "r1,r2", "x,y"), ("p2", "Ink", "u1", "C", "r0", "z"), ("p3", "Cap", None, None, None, None), ("p4", "Mug", "u2", "B", "r5", "z")), DAY)
+    old = spark.createDataFrame([], target(STAR, "dim_user"))
+    day = dt.date(2024, 1, 2)
+    # the last of a user's names in order wins, and marks the row as updated; a user without an id is a row of its own
+    assert rows(load.next_user(old, several, DAY), "user_id", "user_name", "last_updated_date") == [(None, None, None), ("u1", "C", day), ("u2", "B", None)]
+
+
+def test_products_and_prices_come_from_one_search(spark, rows, tmp_path):
+    load = DailyReviews(Warehouse(spark, str(tmp_path)), ORDER)
+    lines = [("p1", "Pen", "u1,u2", "A,B", "r2,r1", "x,y"), ("p1", "Ink", "u1", "A", "r3", "z"), (None, "Cap", "u1", "A", "r4", "z"), (None, "Mug", "u1", "A", "r0", "z")]
+    staged = stored(load.extract(extract(spark, *lines).withColumn("actual_price", F.concat(F.lit("₹"), F.ascii("review_id"), F.ascii("product_name"))), DAY), "staged")
+    first = load.product_rows(staged)
+    assert first.count() == 4 and first.count() < staged.count()
+    assert rows(load.price_batch(first)) == rows(load.price_batch(staged))
+    assert rows(load.product_batch(first), *staged.columns[:8]) == rows(load.product_batch(staged), *staged.columns[:8])
+
+
+def test_rows_known_to_be_met_are_not_searched_for(spark, rows):
+    old, batch = members(spark, 0, 5), members(spark, 0, 9).drop("created_date").withColumn("name", F.lit("m"))
+    assert rows(merge.upsert(old, batch, ["id"], ["name"], DAY, unique=True, met=True)) == rows(merge.upsert(old, batch, ["id"], ["name"], DAY, unique=True))
