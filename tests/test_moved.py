@@ -122,6 +122,17 @@ def test_products_and_prices_come_from_one_search(spark, rows, tmp_path):
     assert rows(load.product_batch(first), *staged.columns[:8]) == rows(load.product_batch(staged), *staged.columns[:8])
 
 
+def test_prices_look_up_keys_for_the_first_rows_alone(spark, plan, rows, tmp_path):
+    lines = [(f"p{i % 3}", "Pen" if i % 2 else None, "u1,u2", "A,B", f"r{i},s{i}", "x,y") for i in range(12)]
+    reviews.stage_reviews(extract(spark, *lines)).write.parquet(f"{tmp_path}/staged")
+    staged = spark.read.parquet(f"{tmp_path}/staged")
+    fact = reviews.price_fact_only(staged, ORDER)
+    assert f"{tmp_path}/staged" not in plan(fact)
+    products = star.build_dim(staged, reviews.PRODUCT, list(reviews.PRODUCT_ON), "product_key", ORDER)
+    whole = reviews.price_fact(star.load_keys(staged, [(products, "product_key", reviews.PRODUCT_ON)]), ORDER)
+    assert rows(fact) == rows(whole) and fact.count() == 4
+
+
 def test_rows_known_to_be_met_are_not_searched_for(spark, rows):
     old, batch = members(spark, 0, 5), members(spark, 0, 9).drop("created_date").withColumn("name", F.lit("m"))
     assert rows(merge.upsert(old, batch, ["id"], ["name"], DAY, unique=True, met=True)) == rows(merge.upsert(old, batch, ["id"], ["name"], DAY, unique=True))
