@@ -1,6 +1,7 @@
 """What wide loads move: rows that meet no others stay where they are."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -133,6 +134,12 @@ def test_prices_look_up_keys_for_the_first_rows_alone(spark, plan, rows, tmp_pat
     assert rows(fact) == rows(whole) and fact.count() == 4
 
 
+def test_staging_of_a_star_is_stored_small(spark, tmp_path):
+    wide = spark.range(20000).select(F.sha2(F.col("id").cast("string"), 256).alias("key"))
+    size = lambda df: sum(Path(f.removeprefix("file://")).stat().st_size for f in df.inputFiles())
+    assert size(stored(wide, "small", "zstd")) < 0.7 * size(stored(wide, "plain"))
+
+
 def test_rows_known_to_be_met_are_not_searched_for(spark, rows):
     old, batch = members(spark, 0, 5), members(spark, 0, 9).drop("created_date").withColumn("name", F.lit("m"))
     assert rows(merge.upsert(old, batch, ["id"], ["name"], DAY, unique=True, met=True)) == rows(merge.upsert(old, batch, ["id"], ["name"], DAY, unique=True))
